@@ -33,7 +33,7 @@ def summary(detail: DataFrame) -> DataFrame:
         detail.groupBy("fiscal_period")
         .pivot("break_status", list(STATUSES))
         .agg(
-            F.count("*").alias("key_count"),
+            F.count(F.lit(1)).alias("key_count"),
             F.sum(F.coalesce("gl_amount", zero)).alias("gl_amount"),
             F.sum(F.coalesce("ap_amount", zero)).alias("ap_amount"),
             F.sum("amount_difference").alias("net_amount_difference"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,23 +33,29 @@ def to_quarantine(rejected: DataFrame, dataset: str, schema: T.StructType) -> Da
     return stamped.select(*schema.fieldNames())
 
 
-def cast_losses(clean: DataFrame, schema: T.StructType) -> DataFrame:
-    """(column_name, lost): values present in the text but NULL once typed.
+def typed_fields(schema: T.StructType) -> list[T.StructField]:
+    return [f for f in schema.fields if f.name not in LINEAGE and f.dataType != schemas.STRING]
+
+
+def losses(schema: T.StructType) -> list[Column]:
+    """Per typed column, the values present in the text but NULL once typed.
 
     Rules do not cover every typed column, and a well-formed date need not
     exist. Zero everywhere means that nothing was lost on the way to silver.
     """
-    fields = [f for f in schema.fields if f.name not in LINEAGE and f.dataType != schemas.STRING]
-    lost = clean.agg(
-        *[
-            F.count_if(~F.expr(blank(f.name)) & typed(f.name, f.dataType).isNull()).alias(f.name)
-            for f in fields
-        ]
-    )
+    return [
+        F.count_if(~F.expr(blank(f.name)) & typed(f.name, f.dataType).isNull()).alias(f.name)
+        for f in typed_fields(schema)
+    ]
+
+
+def cast_losses(clean: DataFrame, schema: T.StructType) -> DataFrame:
+    """(column_name, lost) in a pass of its own; `pipeline.refine` counts while writing."""
     pairs = [
-        F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("lost")) for f in fields
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("lost"))
+        for f in typed_fields(schema)
     ]
-    return lost.select(F.inline(F.array(*pairs)))
+    return clean.agg(*losses(schema)).select(F.inline(F.array(*pairs)))
 
 
 def conservation(

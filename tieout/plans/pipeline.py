@@ -8,16 +8,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tieout import schemas
 from tieout.contract import DEFAULT, Contract
 from tieout.operators import gold, scorecard
 from tieout.operators.annotate import annotate, clean, rejected
-from tieout.operators.controls import require
+from tieout.operators.controls import ControlFailure, require
 from tieout.operators.reconcile import recon_controls, reconcile
-from tieout.operators.refine import cast_losses, conservation, to_quarantine, to_silver
+from tieout.operators.refine import conservation, losses, to_quarantine, to_silver
 from tieout.sources.extracts import completeness, read_extract, to_bronze, with_lineage
 from tieout.sources.lakehouse import Lakehouse
 
@@ -79,24 +79,19 @@ def refine(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
 
     The annotated rows are evaluated once for each of the two tables: a second
     scan costs less than storing the whole annotated input in between. The
-    lookup of repeated ids, the part that shuffles, is computed once.
+    lookup of repeated ids, the part that shuffles, is computed once. Values
+    lost in typing are counted while silver is written.
     """
     contract.validate()
     lake.create_layers()
     for name, dataset in contract.datasets.items():
         source = schemas.SOURCES[name]
         checked = annotate(lake.read("bronze", dataset.table), dataset.rules, lake.scratch())
-        typed = to_silver(clean(checked), schemas.silver(source))
-        losses = cast_losses(clean(checked), schemas.silver(source))
-        require(
-            losses.select(
-                F.concat(F.lit(f"{name} values lost in "), "column_name").alias("control"),
-                F.lit(0).alias("expected"),
-                F.col("lost").alias("actual"),
-            ),
-            "typing",
-        )
-        lake.write(typed, "silver", dataset.table)
+        lost = Observation(f"{name}-values-lost")
+        passed = clean(checked).observe(lost, *losses(schemas.silver(source)))
+        lake.write(to_silver(passed, schemas.silver(source)), "silver", dataset.table)
+        if any(lost.get.values()):
+            raise ControlFailure(f"typing {name} lost values: {lost.get}")
         lake.write(
             to_quarantine(rejected(checked), name, schemas.quarantine(source)),
             "quarantine",
