@@ -57,8 +57,12 @@ def summary(detail: DataFrame) -> DataFrame:
 
 
 def labels(df: DataFrame, code: str, label: str) -> DataFrame:
-    """One label per code. min() is arbitrary, but the same on every run."""
-    return df.groupBy(code).agg(F.min(label).alias(label))
+    """One label per code. min() is arbitrary, but the same on every run.
+
+    Distinct pairs first: that combines by hashing, where min() of a string
+    would sort all rows.
+    """
+    return df.select(code, label).distinct().groupBy(code).agg(F.min(label).alias(label))
 
 
 def exposure_order() -> list:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,30 +22,96 @@ from tieout.contract import (
     TOLERANCE,
     check_precedence,
 )
+from tieout.functions import periods
+from tieout.sources.lakehouse import Scratch
 
 
-def aggregate_side(df: DataFrame, key: Sequence[str], side: str) -> DataFrame:
+def aggregate_side(
+    df: DataFrame, key: Sequence[str], side: str, checked_periods: bool = False
+) -> DataFrame:
     """One row per key: total, earliest period, number of rows.
 
-    Aggregating before the join keeps repeated rows from multiplying, and the
-    row count is the only evidence that they existed.
+    Aggregating before matching keeps repeated rows from multiplying, and the
+    row count is the only evidence that they existed. `checked_periods` says
+    that all periods are written yyyy-mm, which spares a sort.
     """
-    return df.groupBy(*key).agg(
+    period, restored = _period(checked_periods)
+    grouped = df.groupBy(*key).agg(
         F.sum("amount").cast(schemas.TOTAL).alias(f"{side}_amount"),
-        F.min("fiscal_period").alias(f"{side}_fiscal_period"),
+        F.min(period).alias("_period"),
         F.count("*").alias(f"{side}_row_count"),
     )
+    return grouped.select(
+        *key,
+        f"{side}_amount",
+        restored(F.col("_period")).alias(f"{side}_fiscal_period"),
+        f"{side}_row_count",
+    )
 
 
 def match_sides(gl: DataFrame, ap: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Full outer join: a key on one side only is a finding, not a leftover.
+    """Full outer join of aggregated sides: a key on one side only is a finding.
 
-    Both inputs are already hash-partitioned by the key, so the join adds no
-    exchange of its own.
+    Both are already hash-partitioned by the key, so the join adds no exchange.
     """
     return gl.join(ap, list(key), "full_outer")
 
 
+def tie_sides(
+    gl: DataFrame, ap: DataFrame, key: Sequence[str], checked_periods: bool = False
+) -> DataFrame:
+    """What `match_sides` gives for the two aggregated sides, in one aggregation.
+
+    The rows of both ledgers are stacked with their values in columns of their
+    own side and grouped once: one shuffle, combined on the map side, and no
+    sort or join. It differs from the join in one point, that NULL keys of the
+    two sides meet; contracts require keys, and `recon_controls` counts NULLs.
+    """
+    period, restored = _period(checked_periods)
+
+    def stacked(df: DataFrame, from_gl: bool) -> DataFrame:
+        return df.select(*key, "amount", period.alias("_period"), F.lit(from_gl).alias("_gl"))
+
+    is_gl = F.col("_gl")
+    values = {"gl": is_gl, "ap": ~is_gl}
+    grouped = (
+        stacked(gl, True)
+        .unionByName(stacked(ap, False))
+        .groupBy(*key)
+        .agg(
+            *[
+                measure
+                for side, own in values.items()
+                for measure in (
+                    F.sum(F.when(own, F.col("amount"))).cast(schemas.TOTAL).alias(f"{side}_amount"),
+                    F.min(F.when(own, F.col("_period"))).alias(f"_{side}_period"),
+                    F.count_if(own).alias(f"{side}_row_count"),
+                )
+            ]
+        )
+    )
+    return grouped.select(
+        *key,
+        *[
+            column
+            for side in values
+            for column in (
+                f"{side}_amount",
+                restored(F.col(f"_{side}_period")).alias(f"{side}_fiscal_period"),
+                f"{side}_row_count",
+            )
+        ],
+    )
+
+
+def _period(checked: bool) -> tuple[Column, Callable[[Column], Column]]:
+    """How to compare periods, and how to get the text back."""
+    text = F.col("fiscal_period")
+    if checked:
+        return periods.to_number(text), periods.to_text
+    return text, lambda period: period
+
+
 def with_differences(matched: DataFrame) -> DataFrame:
     """Row counts of absent sides become 0; their amounts stay NULL."""
     zero = F.lit(Decimal("0.00"))
@@ -84,14 +150,16 @@ def reconcile(
     key: Sequence[str] = BUSINESS_KEY,
     tolerance: Decimal = TOLERANCE,
     precedence: Sequence[str] = PRECEDENCE,
+    checked_periods: bool = False,
 ) -> DataFrame:
     check_precedence(precedence)
-    matched = match_sides(aggregate_side(gl, key, "gl"), aggregate_side(ap, key, "ap"), key)
+    matched = tie_sides(gl, ap, key, checked_periods)
     return with_differences(matched).withColumn("break_status", break_status(tolerance))
 
 
 def status_domain(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in STATUSES], "break_status string")
+    listed = F.array(*[F.lit(s) for s in STATUSES])
+    return spark.range(1).select(F.explode(listed).alias("break_status"))
 
 
 def status_counts(recon: DataFrame) -> DataFrame:
@@ -170,16 +238,19 @@ def edge_cases(detail: DataFrame) -> DataFrame:
 
 
 def opposite_side_rejections(
-    rejected: DataFrame, opposite: DataFrame, key: Sequence[str] = BUSINESS_KEY
+    rejected: DataFrame, opposite: DataFrame, scratch: Scratch, key: Sequence[str] = BUSINESS_KEY
 ) -> DataFrame:
     """One row: rejected rows in all, and those whose key the other side holds.
 
-    Keys are counted on both sides first, so a key with very many rejected rows
-    is one row of the join.
+    Rejected rows are counted per key first, so a key with very many of them is
+    one row. That lookup is written: while small it is broadcast to the scan of
+    the other side, which then is not shuffled at all.
     """
-    per_key = rejected.groupBy(*key).agg(F.count("*").alias("n"))
-    held = opposite.select(*key).distinct().withColumn("held", F.lit(True))
-    return per_key.join(held, list(key), "left").agg(
+    key = list(key)
+    counted = rejected.groupBy(*key).agg(F.count("*").alias("n"))
+    per_key = scratch.keep(counted, "rejected-keys")
+    held = opposite.select(*key).join(per_key.select(*key), key, "left_semi").distinct()
+    return per_key.join(held.withColumn("held", F.lit(True)), key, "left").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rejected_rows"),
         F.coalesce(F.sum(F.when(F.col("held"), F.col("n"))), F.lit(0)).alias(
             "rows_on_opposite_side"

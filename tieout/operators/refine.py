@@ -16,15 +16,25 @@ from tieout.functions.scores import dq_score
 LINEAGE = schemas.LINEAGE.fieldNames()
 
 
-def to_silver(clean: DataFrame, schema: T.StructType) -> DataFrame:
+def typed_fields(schema: T.StructType) -> list[T.StructField]:
+    return [f for f in schema.fields if f.name not in LINEAGE and f.dataType != schemas.STRING]
+
+
+def with_types(clean: DataFrame, schema: T.StructType) -> DataFrame:
+    """The silver columns, followed by the text that the typed ones were read from."""
     return clean.select(
         *[
             F.col(f.name) if f.name in LINEAGE else typed(f.name, f.dataType).alias(f.name)
             for f in schema.fields
-        ]
+        ],
+        *[F.col(f.name).alias(f"_text_{f.name}") for f in typed_fields(schema)],
     )
 
 
+def to_silver(clean: DataFrame, schema: T.StructType) -> DataFrame:
+    return with_types(clean, schema).select(*schema.fieldNames())
+
+
 def to_quarantine(rejected: DataFrame, dataset: str, schema: T.StructType) -> DataFrame:
     """Rows as received, with the reasons for rejecting them."""
     stamped = rejected.withColumns(
@@ -33,18 +43,14 @@ def to_quarantine(rejected: DataFrame, dataset: str, schema: T.StructType) -> Da
     return stamped.select(*schema.fieldNames())
 
 
-def typed_fields(schema: T.StructType) -> list[T.StructField]:
-    return [f for f in schema.fields if f.name not in LINEAGE and f.dataType != schemas.STRING]
-
-
 def losses(schema: T.StructType) -> list[Column]:
-    """Per typed column, the values present in the text but NULL once typed.
+    """Over `with_types`: values present in the text but NULL once typed, per column.
 
     Rules do not cover every typed column, and a well-formed date need not
     exist. Zero everywhere means that nothing was lost on the way to silver.
     """
     return [
-        F.count_if(~F.expr(blank(f.name)) & typed(f.name, f.dataType).isNull()).alias(f.name)
+        F.count_if(F.col(f.name).isNull() & ~F.expr(blank(f"_text_{f.name}"))).alias(f.name)
         for f in typed_fields(schema)
     ]
 
@@ -55,7 +61,8 @@ def cast_losses(clean: DataFrame, schema: T.StructType) -> DataFrame:
         F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("lost"))
         for f in typed_fields(schema)
     ]
-    return clean.agg(*losses(schema)).select(F.inline(F.array(*pairs)))
+    counted = with_types(clean, schema).agg(*losses(schema))
+    return counted.select(F.inline(F.array(*pairs)))
 
 
 def conservation(

@@ -1,6 +1,8 @@
 """Report queries over the published tables.
 
 They filter, sort and total what the tables define and decide nothing new.
+Listings are sorted down to a row's own identifiers: rows that tie cannot be
+split between tasks, and most rejected rows share their reasons.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def defect_scan(bronze_ap: DataFrame) -> DataFrame:
         .select(
             "ap_line_id", "invoice_number", "amount", "currency", "fiscal_period", "payment_status"
         )
-        .orderBy("ap_line_id")
+        .orderBy("ap_line_id", "invoice_number", "amount", "payment_status")
     )
 
 
@@ -56,7 +58,7 @@ def quarantine_listing(quarantine_ap: DataFrame) -> DataFrame:
         "fiscal_period",
         "vendor_code",
         "payment_status",
-    ).orderBy(F.desc(COUNT), IDS)
+    ).orderBy(F.desc(COUNT), IDS, "ap_line_id", "invoice_number", "vendor_code")
 
 
 def rule_combinations(quarantine: Mapping[str, DataFrame]) -> DataFrame:
@@ -166,8 +168,7 @@ def period_filter(summary: DataFrame) -> DataFrame:
 
 
 def top_exceptions(exceptions: DataFrame, last_rank: int = 25) -> DataFrame:
-    """The worklist. The stored table is range-partitioned by rank, so the
-    pushed filter skips all files but the first."""
+    """The worklist; the rank is stored, so this is a pushed filter."""
     return (
         exceptions.where(F.col("exception_rank") <= last_rank)
         .select(
@@ -190,12 +191,12 @@ def duplicates(detail: DataFrame, with_gl_rows: bool = False) -> DataFrame:
 
     The comparison is NULL when there is no GL amount to compare with.
     """
+    keys = ["invoice_number", "vendor_code", "account_code"]
     found = detail.where(F.col("break_status") == DUPLICATE_IN_SUBLEDGER)
     identical = F.col("ap_amount") == F.col("gl_amount") * F.col("ap_row_count")
     evidence = found.withColumn("copies_were_identical", identical).orderBy(
-        F.desc("ap_row_count"), "copies_were_identical", F.desc("abs_amount_difference")
+        F.desc("ap_row_count"), "copies_were_identical", F.desc("abs_amount_difference"), *keys
     )
-    keys = ["invoice_number", "vendor_code", "account_code"]
     if with_gl_rows:
         return evidence.select(
             *keys,
@@ -218,8 +219,8 @@ def duplicates(detail: DataFrame, with_gl_rows: bool = False) -> DataFrame:
 def unrecorded_detail(exceptions: DataFrame) -> DataFrame:
     return (
         exceptions.where(F.col("break_status") == MISSING_FROM_GL)
+        .orderBy(F.desc("ap_amount"), "invoice_number", "vendor_code", "account_code")
         .select("fiscal_period", "vendor_name", "invoice_number", "ap_amount", "gl_amount")
-        .orderBy(F.desc("ap_amount"))
     )
 
 

@@ -224,25 +224,28 @@ def _rule_combinations(w):
 
 @per_dataset("aggregate")
 def _aggregate(w, dataset):
-    return reconcile.aggregate_side(w.silver(dataset), BUSINESS_KEY, dataset)
-
-
-def _matched(w: Workspace) -> DataFrame:
-    return reconcile.match_sides(_aggregate(w, "gl"), _aggregate(w, "ap"), BUSINESS_KEY)
+    return reconcile.aggregate_side(
+        w.silver(dataset), BUSINESS_KEY, dataset, w.contract.checks_periods
+    )
 
 
 def _recon(w: Workspace) -> DataFrame:
-    return reconcile.reconcile(w.silver("gl"), w.silver("ap"))
+    return reconcile.reconcile(
+        w.silver("gl"), w.silver("ap"), checked_periods=w.contract.checks_periods
+    )
 
 
 @query("recon_full_outer")
 def _recon_full_outer(w):
-    return _matched(w)
+    return reconcile.match_sides(_aggregate(w, "gl"), _aggregate(w, "ap"), BUSINESS_KEY)
 
 
 @query("recon_derived")
 def _recon_derived(w):
-    return reconcile.with_differences(_matched(w))
+    tied = reconcile.tie_sides(
+        w.silver("gl"), w.silver("ap"), BUSINESS_KEY, w.contract.checks_periods
+    )
+    return reconcile.with_differences(tied)
 
 
 @query("recon_classified")
@@ -270,7 +273,7 @@ def _quarantine_single_sided(w):
     union = None
     for dataset, opposite in (("gl", "ap"), ("ap", "gl")):
         one = reconcile.opposite_side_rejections(
-            w.quarantine(dataset), w.bronze(opposite)
+            w.quarantine(dataset), w.bronze(opposite), w.scratch()
         ).select(F.lit(dataset).alias("dataset"), "*")
         union = one if union is None else union.unionByName(one)
     return union

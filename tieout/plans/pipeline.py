@@ -17,7 +17,7 @@ from tieout.operators import gold, scorecard
 from tieout.operators.annotate import annotate, clean, rejected
 from tieout.operators.controls import ControlFailure, require
 from tieout.operators.reconcile import recon_controls, reconcile
-from tieout.operators.refine import conservation, losses, to_quarantine, to_silver
+from tieout.operators.refine import conservation, losses, to_quarantine, with_types
 from tieout.sources.extracts import completeness, read_extract, to_bronze, with_lineage
 from tieout.sources.lakehouse import Lakehouse
 
@@ -87,9 +87,10 @@ def refine(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     for name, dataset in contract.datasets.items():
         source = schemas.SOURCES[name]
         checked = annotate(lake.read("bronze", dataset.table), dataset.rules, lake.scratch())
+        silver = schemas.silver(source)
         lost = Observation(f"{name}-values-lost")
-        passed = clean(checked).observe(lost, *losses(schemas.silver(source)))
-        lake.write(to_silver(passed, schemas.silver(source)), "silver", dataset.table)
+        counted = with_types(clean(checked), silver).observe(lost, *losses(silver))
+        lake.write(counted, "silver", dataset.table)
         if any(lost.get.values()):
             raise ControlFailure(f"typing {name} lost values: {lost.get}")
         lake.write(
@@ -123,6 +124,7 @@ def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
         contract.business_key,
         contract.tolerance,
         contract.precedence,
+        contract.checks_periods,
     )
     detail = lake.write(
         gold.detail(recon), "gold", "recon_detail", partition_by=["break_status"]
