@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tieout.operators.annotate import annotate, clean, rejected
 from tieout.operators.controls import ControlFailure, require
 from tieout.operators.reconcile import recon_controls, reconcile
 from tieout.operators.refine import conservation, losses, to_quarantine, with_types
+from tieout.session import together
 from tieout.sources.extracts import completeness, read_extract, to_bronze, with_lineage
 from tieout.sources.lakehouse import Lakehouse
 
@@ -37,7 +39,8 @@ def land_extracts(
     contract.validate()
     batch_id = batch_id or uuid.uuid4().hex
     lake.create_layers()
-    for dataset, path in paths.items():
+
+    def land(dataset: str, path: str) -> None:
         extract = read_extract(lake.spark, path, schemas.SOURCES[dataset], dataset, multi_line)
         landed = lake.write(
             to_bronze(with_lineage(extract, batch_id), dataset),
@@ -54,6 +57,8 @@ def land_extracts(
                 ),
                 "landing",
             )
+
+    together(*[partial(land, dataset, path) for dataset, path in paths.items()])
     return batch_id
 
 
@@ -68,9 +73,12 @@ def land_frames(
     contract.validate()
     batch_id = batch_id or uuid.uuid4().hex
     lake.create_layers()
-    for dataset, frame in frames.items():
+
+    def land(dataset: str, frame: DataFrame) -> None:
         landed = with_lineage(frame, batch_id, source)
         lake.write(to_bronze(landed, dataset), "bronze", contract.datasets[dataset].table)
+
+    together(*[partial(land, dataset, frame) for dataset, frame in frames.items()])
     return batch_id
 
 
@@ -84,20 +92,22 @@ def refine(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     """
     contract.validate()
     lake.create_layers()
-    for name, dataset in contract.datasets.items():
-        source = schemas.SOURCES[name]
+
+    def split(name: str) -> None:
+        dataset, source = contract.datasets[name], schemas.SOURCES[name]
         checked = annotate(lake.read("bronze", dataset.table), dataset.rules, lake.scratch())
         silver = schemas.silver(source)
         lost = Observation(f"{name}-values-lost")
         counted = with_types(clean(checked), silver).observe(lost, *losses(silver))
-        lake.write(counted, "silver", dataset.table)
+        reasons = to_quarantine(rejected(checked), name, schemas.quarantine(source))
+        together(
+            lambda: lake.write(counted, "silver", dataset.table),
+            lambda: lake.write(reasons, "quarantine", dataset.table),
+        )
         if any(lost.get.values()):
             raise ControlFailure(f"typing {name} lost values: {lost.get}")
-        lake.write(
-            to_quarantine(rejected(checked), name, schemas.quarantine(source)),
-            "quarantine",
-            dataset.table,
-        )
+
+    together(*[partial(split, name) for name in contract.datasets])
     layers = [tables(lake, layer, contract) for layer in ("bronze", "silver", "quarantine")]
     require(
         conservation(*layers).select(
@@ -129,12 +139,18 @@ def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     detail = lake.write(
         gold.detail(recon), "gold", "recon_detail", partition_by=["break_status"]
     )
-    require(
-        recon_controls(detail, contract.business_key, contract.tolerance), "reconciliation"
+
+    def rank() -> DataFrame:
+        ranked = gold.exceptions(detail, silver["gl"], silver["ap"], lake.scratch())
+        return lake.write(ranked, "gold", "recon_exceptions")
+
+    _, summary, exceptions = together(
+        lambda: require(
+            recon_controls(detail, contract.business_key, contract.tolerance), "reconciliation"
+        ),
+        lambda: lake.write(gold.summary(detail), "gold", "recon_summary"),
+        rank,
     )
-    summary = lake.write(gold.summary(detail), "gold", "recon_summary")
-    ranked = gold.exceptions(detail, silver["gl"], silver["ap"], lake.scratch())
-    exceptions = lake.write(ranked, "gold", "recon_exceptions")
     require(gold.gold_controls(detail, summary, exceptions), "gold")
 
 
@@ -145,15 +161,13 @@ def score(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     bronze, silver, quarantine = (
         tables(lake, layer, contract) for layer in ("bronze", "silver", "quarantine")
     )
-    stored = lake.write(
-        scorecard.scorecard(contract, bronze, silver, quarantine), "gold", "dq_scorecard"
+    rules = scorecard.rule_scorecard(
+        scorecard.rule_catalogue(lake.spark, contract), scorecard.rule_violations(quarantine)
     )
-    lake.write(
-        scorecard.rule_scorecard(
-            scorecard.rule_catalogue(lake.spark, contract), scorecard.rule_violations(quarantine)
-        ),
-        "gold",
-        "dq_rule_scorecard",
+    per_dataset = scorecard.scorecard(contract, bronze, silver, quarantine)
+    stored, _ = together(
+        lambda: lake.write(per_dataset, "gold", "dq_scorecard"),
+        lambda: lake.write(rules, "gold", "dq_rule_scorecard"),
     )
     require(scorecard.conservation_control(stored), "scorecard")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -23,12 +25,36 @@ def build_session(app_name: str = "tieout", **config: str) -> SparkSession:
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Generated methods beyond this are not compiled by HotSpot.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Detail rows are written by status; six open writers spare a sort.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
     )
     for key, value in config.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for an input of this size, to pass to `build_session`.
+
+    Shuffle partitions of about 256 MB keep a sort or hash table within one
+    task's memory; AQE merges those that turn out small.
+    """
+    target = 256 << 20
+    return {
+        "spark__sql__shuffle__partitions": str(max(2 * cores, -(-input_bytes // target))),
+        "spark__sql__files__maxPartitionBytes": str(target if input_bytes > 1 << 40 else 128 << 20),
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": str(target),
+    }
+
+
+def together(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark jobs at once, so that one's last tasks leave no core idle."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can read.
 

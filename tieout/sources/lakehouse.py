@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -70,7 +71,7 @@ class Lakehouse:
         return Scratch(self.spark, run_folder(self.spark))
 
 
-@dataclass
+@dataclass(frozen=True)
 class Scratch:
     """Intermediate tables of a run, written to shared storage and read back.
 
@@ -82,10 +83,8 @@ class Scratch:
 
     spark: SparkSession
     root: str
-    _used: int = 0
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        self._used += 1
-        path = f"{self.root}/{self._used:03d}-{name}"
+        path = f"{self.root}/{name}-{uuid.uuid4().hex}"
         df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
