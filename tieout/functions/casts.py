@@ -37,9 +37,11 @@ def conform(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
         raise ValueError(f"{table}: declared columns were not produced: {missing}")
     return df.select(
         *[
-            F.col(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f.name).cast(f.dataType).alias(f.name)
+            (
+                F.col(f.name)
+                if isinstance(f.dataType, T.StringType)
+                else F.col(f.name).cast(f.dataType)
+            ).alias(f.name, metadata=f.metadata)
             for f in schema.fields
         ]
     )

@@ -34,6 +34,7 @@ def land_extracts(
     contract: Contract = DEFAULT,
     batch_id: str | None = None,
     multi_line: bool = False,
+    escape: str = "\\",
 ) -> str:
     """CSV files to bronze, losing no row."""
     contract.validate()
@@ -41,7 +42,8 @@ def land_extracts(
     lake.create_layers()
 
     def land(dataset: str, path: str) -> None:
-        extract = read_extract(lake.spark, path, schemas.SOURCES[dataset], dataset, multi_line)
+        source = schemas.SOURCES[dataset]
+        extract = read_extract(lake.spark, path, source, dataset, multi_line, escape)
         landed = lake.write(
             to_bronze(with_lineage(extract, batch_id), dataset),
             "bronze",
