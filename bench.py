@@ -78,7 +78,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "pipeline_and_headline_queries_total",
+                "metric": "stages_and_headline_queries_total",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,

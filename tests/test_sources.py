@@ -184,9 +184,11 @@ def test_work_folder_follows_the_session(spark):
 
 
 def test_sizing_grows_with_the_input():
-    small, big = session.sizing(1 << 30, 8), session.sizing(100 << 40, 4000)
-    key = "spark__sql__shuffle__partitions"
-    assert int(small[key]) == 16 and int(big[key]) == 409600
+    partitions, split = "spark__sql__shuffle__partitions", "spark__sql__files__maxPartitionBytes"
+    small, large = session.sizing(1 << 30, 8), session.sizing(1 << 40, 400)
+    huge = session.sizing(100 << 40, 4000)
+    assert [int(x[partitions]) for x in (small, large, huge)] == [16, 1024, 32768]
+    assert int(small[split]) == 128 << 20 and int(huge[split]) == 2048 << 20
 
 
 # --- the whole way from files ---------------------------------------------------------------
@@ -217,6 +219,13 @@ def test_pipeline_from_files(spark, lake, files):
         assert stored.count() > 0
 
 
+def test_pipeline_into_a_catalog(spark, files):
+    lake = Lakehouse(spark, catalog="spark_catalog")
+    pipeline.run(lake, files)
+    assert lake.read("gold", "recon_detail").count() == 1470
+    assert lake.read("gold", "recon_exceptions").count() == 222
+
+
 def test_blank_line_stops_the_landing(lake, files, tmp_path):
     with open(f"{files['gl']}/zz.csv", "w") as handle:
         handle.write(",".join(schemas.GL_SOURCE.names) + "\n\n")

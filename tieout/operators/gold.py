@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tieout import schemas
 from tieout.contract import MATCHED, STATUSES
 from tieout.functions.casts import conform
+from tieout.functions.rows import control_rows, side_by_side
 from tieout.operators.rank import global_rank
-from tieout.operators.reconcile import control_rows
 from tieout.sources.lakehouse import Scratch
 
 UNLABELLED = "(unlabelled)"
@@ -115,8 +115,7 @@ def gold_controls(detail: DataFrame, summary: DataFrame, exceptions: DataFrame)
         F.count("*").alias("exception_rows"),
         F.coalesce(F.max("exception_rank"), F.lit(0)).alias("last_rank"),
     )
-    # Three one-row aggregates.
-    measured = from_detail.crossJoin(from_summary).crossJoin(from_exceptions)
+    measured = side_by_side(from_detail, from_summary, from_exceptions)
     unmatched = F.col("keys") - F.col("matched")
     return control_rows(
         measured,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,7 @@ from tieout.contract import (
     check_precedence,
 )
 from tieout.functions import periods
+from tieout.functions.rows import control_rows
 from tieout.sources.lakehouse import Scratch
 
 
@@ -205,19 +206,6 @@ def recon_controls(
     )
 
 
-def control_rows(measured: DataFrame, controls: Mapping[str, tuple[Column, Column]]) -> DataFrame:
-    """Turn one row of measurements into (control, expected, actual) rows."""
-    rows = [
-        F.struct(
-            F.lit(name).alias("control"),
-            expected.cast("bigint").alias("expected"),
-            actual.cast("bigint").alias("actual"),
-        )
-        for name, (expected, actual) in controls.items()
-    ]
-    return measured.select(F.inline(F.array(*rows)))
-
-
 def edge_cases(detail: DataFrame) -> DataFrame:
     """Populations that only a right ladder puts in the right place."""
     status = F.col("break_status")

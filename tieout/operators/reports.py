@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tieout import schemas
 from tieout.contract import DUPLICATE_IN_SUBLEDGER, FISCAL_PERIOD, MATCHED, MISSING_FROM_GL
 from tieout.functions.predicates import COUNT, IDS, whole_value
+from tieout.functions.rows import side_by_side
 from tieout.operators.refine import overall_score, rejections
 
 WIDE = "decimal(38,2)"
@@ -92,8 +93,7 @@ def headline(detail: DataFrame, exceptions: DataFrame, scorecard: DataFrame) ->
         F.count("*").alias("exceptions"), _sum("abs_amount_difference").alias("gross_exposure")
     )
     score = overall_score(scorecard).select("dq_score_pct")
-    # Three one-row aggregates.
-    return keys.crossJoin(broken).crossJoin(score)
+    return side_by_side(keys, broken, score)
 
 
 def break_mix(summary: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ from tieout import schemas
 from tieout.contract import Contract
 from tieout.functions.casts import conform
 from tieout.functions.predicates import COUNT, predicate, split_ids
+from tieout.functions.rows import control_rows
 from tieout.functions.scores import dq_score
-from tieout.operators.reconcile import control_rows
 from tieout.operators.refine import rejections, tagged_counts
 
 

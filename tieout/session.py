@@ -38,14 +38,18 @@ def build_session(app_name: str = "tieout", **config: str) -> SparkSession:
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings for an input of this size, to pass to `build_session`.
 
-    Shuffle partitions of about 256 MB keep a sort or hash table within one
-    task's memory; AQE merges those that turn out small.
+    About a quarter of a ledger row is shuffled: key, amount and period. Shuffle
+    partitions aim at 256 MB. Reads and shuffles both stop growing in number at
+    some point and grow in size instead, since a shuffle has as many blocks as
+    their product. AQE merges partitions that turn out small.
     """
-    target = 256 << 20
+    mb = 1 << 20
+    partitions = min(-(-input_bytes // (4 * 256 * mb)), 1 << 15)
+    split = min(max(input_bytes // 50_000, 128 * mb), 2048 * mb)
     return {
-        "spark__sql__shuffle__partitions": str(max(2 * cores, -(-input_bytes // target))),
-        "spark__sql__files__maxPartitionBytes": str(target if input_bytes > 1 << 40 else 128 << 20),
-        "spark__sql__adaptive__advisoryPartitionSizeInBytes": str(target),
+        "spark__sql__shuffle__partitions": str(max(2 * cores, partitions)),
+        "spark__sql__files__maxPartitionBytes": str(split),
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": str(256 * mb),
     }
 
 
