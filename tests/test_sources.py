@@ -217,6 +217,9 @@ def test_pipeline_from_files(spark, lake, files):
             (f.name, f.dataType) for f in schema
         ]
         assert stored.count() > 0
+    lake.register_views()
+    keys = spark.sql("SELECT sum(key_count) AS n FROM gold_recon_summary").first().n
+    assert keys == spark.sql("SELECT * FROM gold_recon_detail").count() == 1470
 
 
 def test_pipeline_into_a_catalog(spark, files):

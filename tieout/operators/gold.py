@@ -10,6 +10,7 @@ from tieout.contract import MATCHED, STATUSES
 from tieout.functions.casts import conform
 from tieout.functions.rows import control_rows, side_by_side
 from tieout.operators.rank import global_rank
+from tieout.session import together
 from tieout.sources.lakehouse import Scratch
 
 UNLABELLED = "(unlabelled)"
@@ -89,11 +90,13 @@ def exceptions(detail: DataFrame, gl: DataFrame, ap: DataFrame, scratch: Scratch
     then the bare scan of the detail. The stored table keeps the ranges, so the
     top ranks sit in its first files.
     """
-    accounts = scratch.keep(labels(gl, "account_code", "account_name"), "account-labels")
-    vendors = scratch.keep(labels(ap, "vendor_code", "vendor_name"), "vendor-labels")
+    accounts, vendors, ranked = together(
+        lambda: scratch.keep(labels(gl, "account_code", "account_name"), "account-labels"),
+        lambda: scratch.keep(labels(ap, "vendor_code", "vendor_name"), "vendor-labels"),
+        lambda: ranked_exceptions(detail, scratch),
+    )
     labelled = (
-        ranked_exceptions(detail, scratch)
-        .join(accounts, "account_code", "left")
+        ranked.join(accounts, "account_code", "left")
         .join(vendors, "vendor_code", "left")
         .withColumns(
             {

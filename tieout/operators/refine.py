@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,13 +88,13 @@ def conservation(
 
 def tagged_counts(frames: Mapping[str, DataFrame], layer: str) -> DataFrame:
     """(dataset, layer, n), each frame counted on its own."""
-    union = None
-    for dataset, frame in frames.items():
-        one = frame.agg(F.count("*").alias("n")).select(
+    counts = [
+        frame.agg(F.count("*").alias("n")).select(
             F.lit(dataset).alias("dataset"), F.lit(layer).alias("layer"), "n"
         )
-        union = one if union is None else union.unionByName(one)
-    return union
+        for dataset, frame in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def overall_score(per_dataset: DataFrame) -> DataFrame:
@@ -107,8 +108,5 @@ def overall_score(per_dataset: DataFrame) -> DataFrame:
 
 def rejections(quarantine: Mapping[str, DataFrame]) -> DataFrame:
     """The reasons of all quarantined rows, whatever their source columns."""
-    union = None
-    for frame in quarantine.values():
-        one = frame.select("_dataset", IDS, COUNT)
-        union = one if union is None else union.unionByName(one)
-    return union
+    reasons = [frame.select("_dataset", IDS, COUNT) for frame in quarantine.values()]
+    return reduce(DataFrame.unionByName, reasons)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tieout.contract import BUSINESS_KEY, CHECKS
 from tieout.operators import annotate as contract_checks
 from tieout.operators import controls, gold, reconcile, refine, reports, scorecard
 from tieout.plans.workspace import BATCH, Workspace, workspace
-from tieout.session import run_folder
+from tieout.session import run_folder, together
 from tieout.sources import extracts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,12 @@ def per_dataset(prefix: str):
     return register
 
 
+def each(w: Workspace, build: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of every dataset; lookups that a build writes are written together."""
+    frames = together(*[partial(build, dataset) for dataset in w.contract.datasets])
+    return reduce(DataFrame.unionByName, frames)
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 
@@ -72,16 +79,16 @@ def _csv_roundtrip(w, dataset):
 @query("bronze_lineage")
 def _bronze_lineage(w):
     """Lineage of rows landed from files; of the path, the folder is shown."""
-    union = None
-    for dataset in w.contract.datasets:
+
+    def rows(dataset):
         landed = extracts.with_lineage(_extract(w, dataset)[1], BATCH)
-        one = extracts.to_bronze(landed, dataset).select(
+        return extracts.to_bronze(landed, dataset).select(
             F.col(w.primary_key(dataset)).alias("row_id"),
             F.regexp_extract("_source_file", "([^/]+)/[^/]+$", 1).alias("source_folder"),
             "_batch_id",
         )
-        union = one if union is None else union.unionByName(one)
-    return union
+
+    return each(w, rows)
 
 
 @per_dataset("bronze")
@@ -92,12 +99,11 @@ def _bronze(w, dataset):
 
 @query("ingest_completeness")
 def _ingest_completeness(w):
-    union = None
-    for dataset in w.contract.datasets:
+    def counts(dataset):
         path, rows = _extract(w, dataset)
-        one = extracts.completeness(w.spark, path, rows, dataset)
-        union = one if union is None else union.unionByName(one)
-    return union
+        return extracts.completeness(w.spark, path, rows, dataset)
+
+    return each(w, counts)
 
 
 @query("bronze_peek")
@@ -116,13 +122,14 @@ def _bronze_defect_scan(w):
 def _check(kind: str):
     @query(f"check_{kind}")
     def _rows(w):
-        union = None
-        for dataset in w.contract.datasets:
-            one = contract_checks.breaches(
+        w.land()
+
+        def rows(dataset):
+            return contract_checks.breaches(
                 w.bronze(dataset), w.rules(dataset), kind, w.primary_key(dataset), w.scratch()
             ).select(F.lit(dataset).alias("dataset"), "*")
-            union = one if union is None else union.unionByName(one)
-        return union
+
+        return each(w, rows)
 
 
 for _kind in CHECKS:
@@ -134,16 +141,17 @@ def _annotated(w: Workspace, dataset: str) -> DataFrame:
 
 
 def _ids_of_all(w: Workspace, column: str) -> DataFrame:
-    union = None
-    for dataset in w.contract.datasets:
-        one = _annotated(w, dataset).select(
+    w.land()
+
+    def rows(dataset):
+        return _annotated(w, dataset).select(
             F.lit(dataset).alias("dataset"),
             F.col(w.primary_key(dataset)).alias("row_id"),
             "invoice_number",
             column,
         )
-        union = one if union is None else union.unionByName(one)
-    return union
+
+    return each(w, rows)
 
 
 @query("failed_rule_ids")
@@ -164,11 +172,12 @@ def _rule_flags(w):
 
 @query("rule_violation_counts")
 def _rule_violation_counts(w):
-    union = None
-    for dataset in w.contract.datasets:
-        one = contract_checks.violation_counts(w.bronze(dataset), w.rules(dataset), w.scratch())
-        union = one if union is None else union.unionByName(one)
-    return union
+    w.land()
+
+    def counts(dataset):
+        return contract_checks.violation_counts(w.bronze(dataset), w.rules(dataset), w.scratch())
+
+    return each(w, counts)
 
 
 # --- silver and quarantine ----------------------------------------------------------
@@ -270,13 +279,15 @@ def _recon_edge_cases(w):
 
 @query("quarantine_single_sided")
 def _quarantine_single_sided(w):
-    union = None
-    for dataset, opposite in (("gl", "ap"), ("ap", "gl")):
-        one = reconcile.opposite_side_rejections(
-            w.quarantine(dataset), w.bronze(opposite), w.scratch()
+    rejected, landed = w.every("quarantine"), w.every("bronze")
+    opposite = {"gl": "ap", "ap": "gl"}
+
+    def counts(dataset):
+        return reconcile.opposite_side_rejections(
+            rejected[dataset], landed[opposite[dataset]], w.scratch()
         ).select(F.lit(dataset).alias("dataset"), "*")
-        union = one if union is None else union.unionByName(one)
-    return union
+
+    return each(w, counts)
 
 
 @query("gl_key_uniqueness")

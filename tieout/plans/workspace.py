@@ -47,6 +47,10 @@ class Workspace:
     def scratch(self) -> Scratch:
         return Scratch(self.spark, run_folder(self.spark))
 
+    def land(self) -> None:
+        """Make sure bronze is in place, before queries are built side by side."""
+        self._bring("land")
+
     def bronze(self, dataset: str) -> DataFrame:
         self._bring("land")
         return self._read("bronze", dataset)

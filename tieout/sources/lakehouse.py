@@ -63,6 +63,11 @@ class Lakehouse:
             stored = self.spark.read.schema(schema).parquet(self.target(layer, table))
         return stored.select(*schema.fieldNames())
 
+    def register_views(self) -> None:
+        """Name every stored table for SQL, as `layer_table`: gold_recon_detail."""
+        for layer, table in schemas.TABLES:
+            self.read(layer, table).createOrReplaceTempView(f"{layer}_{table}")
+
     def scratch(self) -> "Scratch":
         if self.work is not None:
             return Scratch(self.spark, self.work)
