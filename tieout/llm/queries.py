@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tieout.llm import licenses, mixing, sharding
+from tieout.llm import decontaminate, licenses, mixing, pii, sharding
 
 QUERIES = {
     query.__name__: query
@@ -10,10 +10,13 @@ QUERIES = {
         mixing.op2_mix_sources,
         sharding.op4_rendezvous_shards,
         licenses.op6_license_digests,
+        pii.op8_pii_spans,
+        decontaminate.op9_decontaminate,
     )
 }
 
 ORACLE_SQL = {
     "op2_mix_sources": mixing.ORACLE_SQL,
     "op6_license_digests": licenses.ORACLE_SQL,
+    "op9_decontaminate": decontaminate.ORACLE_SQL,
 }
