@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tieout.llm import decontaminate, licenses, mixing, pii, sharding
+from tieout.llm import decontaminate, licenses, mixing, pii, sharding, toxicity
 
 QUERIES = {
     query.__name__: query
     for query in (
+        toxicity.op1_toxicity_nnpu,
         mixing.op2_mix_sources,
         sharding.op4_rendezvous_shards,
         licenses.op6_license_digests,
