@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tieout.llm import decontaminate, licenses, mixing, pii, sharding, toxicity
+from tieout.llm import decontaminate, licenses, mixing, pii, sharding, tokens, toxicity
 
 QUERIES = {
     query.__name__: query
     for query in (
         toxicity.op1_toxicity_nnpu,
         mixing.op2_mix_sources,
+        tokens.op3_token_files,
         sharding.op4_rendezvous_shards,
         licenses.op6_license_digests,
         pii.op8_pii_spans,
