@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tieout.llm import decontaminate, licenses, mixing, pii, sharding, tokens, toxicity
+from tieout.llm import decontaminate, licenses, mixing, near_dup, pii, sharding, tokens, toxicity, warc
 
 QUERIES = {
     query.__name__: query
@@ -11,9 +11,11 @@ QUERIES = {
         mixing.op2_mix_sources,
         tokens.op3_token_files,
         sharding.op4_rendezvous_shards,
+        warc.op5_warc_records,
         licenses.op6_license_digests,
         pii.op8_pii_spans,
         decontaminate.op9_decontaminate,
+        near_dup.op10_near_duplicates,
     )
 }
 
