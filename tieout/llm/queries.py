@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tieout.llm import decontaminate, licenses, mixing, near_dup, pii, sharding, tokens, toxicity, warc
+from tieout.llm import decontaminate, embedding_dup, licenses, mixing, near_dup, pii, sharding, tokens, toxicity, warc
 
 QUERIES = {
     query.__name__: query
@@ -13,6 +13,7 @@ QUERIES = {
         sharding.op4_rendezvous_shards,
         warc.op5_warc_records,
         licenses.op6_license_digests,
+        embedding_dup.op7_embedding_links,
         pii.op8_pii_spans,
         decontaminate.op9_decontaminate,
         near_dup.op10_near_duplicates,
