@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def kept_in_worker(key: str, make: Callable[[], object]):
+    """Something that a Python worker makes once and keeps for its later tasks.
+
+    Functions travel by value, so their globals are new in every task.
+    """
+    kept = sys.modules.setdefault("_tieout_kept", types.ModuleType("_tieout_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def one_row(df: DataFrame) -> dict:
     """The single row of an ungrouped aggregate."""
     return df.first().asDict()

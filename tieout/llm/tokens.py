@@ -39,12 +39,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tieout.llm.bytefiles import read_files, write_files
-from tieout.llm.common import scratch_of, table
+from tieout.llm.common import kept_in_worker, scratch_of, table
 
 END_ID = 1
 BLOCK = 128
 PERCENT = 90
-IDS_PER_FILE = 4_000_000
+IDS_PER_FILE = 2_000_000
 MAGIC, END_MARK, VERSION = b"TKPF", b"TKEND", 1
 HEADER = "<4s6I"
 DOCUMENT = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u4")])
@@ -58,15 +58,40 @@ def bit_length(values: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
 
 
+def places(width: int) -> list[tuple[int, int]]:
+    """Word of 64 bits and shift where each value of a block starts."""
+    return [divmod(i * width, 64) for i in range(BLOCK)]
+
+
 def pack(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of BLOCK values below 2**width as rows of bytes, low bits first."""
-    bits = (values[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).reshape(len(values), -1), axis=1, bitorder="little")
+    columns = values.T.astype(np.uint64)
+    words = np.zeros((BLOCK * width // 64, len(values)), np.uint64)
+    for column, (word, shift) in zip(columns, places(width)):
+        words[word] |= column << np.uint64(shift)
+        if shift + width > 64:
+            words[word + 1] |= column >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.T).astype("<u8").view(np.uint8)
 
 
 def unpack(data: np.ndarray, width: int) -> np.ndarray:
-    bits = np.unpackbits(data, axis=1, bitorder="little").reshape(len(data), BLOCK, width)
-    return bits @ (1 << np.arange(width, dtype=np.int64))
+    words = np.ascontiguousarray(np.ascontiguousarray(data).view("<u8").T)
+    values = np.zeros((BLOCK, words.shape[1]), np.uint64)
+    for i, (word, shift) in enumerate(places(width)):
+        values[i] = words[word] >> np.uint64(shift)
+        if shift + width > 64:
+            values[i] |= words[word + 1] << np.uint64(64 - shift)
+    return (values & np.uint64((1 << width) - 1)).T.astype(np.int64)
+
+
+def exception_places(index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per exception, its block and where its position and its high bits are stored."""
+    n = index["exceptions"].astype(np.int64)
+    block = np.repeat(np.arange(len(index)), n)
+    rank = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    packed = index["width"].astype(np.int64) * (BLOCK // 8)
+    start = (index["start"].astype(np.int64) + packed)[block]
+    return block, start + rank, start + n[block] + 4 * rank
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -78,42 +103,37 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     over = blocks - minimum[:, None]
     kth = -(-BLOCK * PERCENT // 100) - 1
     width = bit_length(np.partition(over, kth, axis=1)[:, kth])
-    high = over >> width[:, None].astype(np.uint32)
-    high[width >= 32] = 0
-    exceptions = (high > 0).sum(axis=1)
+    high = (over.astype(np.uint64) >> width[:, None].astype(np.uint64)).astype(np.uint32)
+    rows, columns = np.nonzero(high)
     index = np.zeros(n_blocks, INDEX)
-    index["minimum"], index["width"], index["exceptions"] = minimum, width, exceptions
-    sizes = width * (BLOCK // 8) + exceptions * 5
+    index["minimum"], index["width"] = minimum, width
+    index["exceptions"] = np.bincount(rows, minlength=n_blocks)
+    sizes = width * (BLOCK // 8) + index["exceptions"].astype(np.int64) * 5
     index["start"] = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     payload = np.zeros(sizes.sum(), np.uint8)
-    for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
+    for w in map(int, np.unique(width)):
         if w:
-            low = over[rows] & np.uint32((1 << int(w)) - 1)
-            places = index["start"][rows].astype(np.int64)[:, None] + np.arange(w * (BLOCK // 8))
-            payload[places] = pack(low, int(w))
-    for row in np.flatnonzero(exceptions):
-        at = np.flatnonzero(high[row])
-        start = int(index["start"][row]) + int(width[row]) * (BLOCK // 8)
-        stored = at.astype(np.uint8).tobytes() + high[row][at].astype("<u4").tobytes()
-        payload[start : start + len(stored)] = np.frombuffer(stored, np.uint8)
+            same = np.flatnonzero(width == w)
+            at = index["start"][same].astype(np.int64)[:, None] + np.arange(w * (BLOCK // 8))
+            payload[at] = pack(over[same] & np.uint32((1 << w) - 1), w)
+    _, positions, bits = exception_places(index)
+    payload[positions] = columns
+    payload[bits[:, None] + np.arange(4)] = high[rows, columns].astype("<u4")[:, None].view(np.uint8)
     return index, payload.tobytes()
 
 
 def decode_blocks(index: np.ndarray, payload: bytes) -> np.ndarray:
     data = np.frombuffer(payload, np.uint8)
-    over = np.zeros((len(index), BLOCK), np.int64)
+    values = np.zeros((len(index), BLOCK), np.int64)
     starts, width = index["start"].astype(np.int64), index["width"].astype(np.int64)
-    for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
+    for w in map(int, np.unique(width)):
         if w:
-            over[rows] = unpack(data[starts[rows][:, None] + np.arange(w * (BLOCK // 8))], int(w))
-    for row in np.flatnonzero(index["exceptions"]):
-        start, n = int(starts[row] + width[row] * (BLOCK // 8)), int(index["exceptions"][row])
-        at = data[start : start + n]
-        high = np.frombuffer(payload, "<u4", n, start + n).astype(np.int64)
-        over[row, at] += high << width[row]
-    return (over + index["minimum"][:, None].astype(np.int64)).astype(np.uint32).reshape(-1)
+            same = np.flatnonzero(width == w)
+            values[same] = unpack(data[starts[same][:, None] + np.arange(w * (BLOCK // 8))], w)
+    block, positions, bits = exception_places(index)
+    high = np.ascontiguousarray(data[bits[:, None] + np.arange(4)]).view("<u4")[:, 0]
+    values[block, data[positions]] += high.astype(np.int64) << width[block]
+    return (values + index["minimum"][:, None].astype(np.int64)).astype(np.uint32).reshape(-1)
 
 
 # --- files ----------------------------------------------------------------------------
@@ -151,7 +171,7 @@ def from_file(content: bytes) -> tuple[np.ndarray, np.ndarray]:
 SPACES = re.compile("[ \n\t\r]+")
 # Without U+0130, the one whose lower case is two characters.
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
-WORDS_KEPT = 400_000
+WORDS_KEPT = 300_000
 
 
 class Encoder:
@@ -161,8 +181,8 @@ class Encoder:
     digits and signs) never look across white space, so a text's ids are those
     of its words one after the other. Words of Latin letters, the bulk, skip the
     steps that cannot change them and go to the library's model directly; all
-    others go through the whole of it. That is checked against encode() once per
-    task, on a sample of words, and all words take the long way should they differ.
+    others go through the whole of it. That is checked against encode() when an
+    encoder is made, on a sample of words, and all words take the long way should they differ.
     """
 
     def __init__(self, path: str):
@@ -255,7 +275,7 @@ def write_tokens(
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = kept_in_worker(f"encoder {tokenizer_path}", lambda: Encoder(tokenizer_path))
         doc_ids, counts, parts, n = [], [], [], 0
 
         def file() -> pa.RecordBatch:
