@@ -1,0 +1,212 @@
+"""Toxicity, personal data and decontamination."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tieout.llm import decontaminate, pii, queries, toxicity
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string"
+
+# --- toxicity -------------------------------------------------------------------------
+
+
+def test_held_out_accuracy(spark):
+    rows = queries.QUERIES["op1_toxicity_nnpu"](spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    known = rows.join(labels, "doc_id").where("held_out").collect()
+    toxic = [r["predicted"] for r in known if r["toxic"] == 1]
+    clean = [r["predicted"] for r in known if r["toxic"] == 0]
+    assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.01
+
+
+def test_labels_of_held_out_documents_change_nothing(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(600):
+        text = rng.choices(words, k=30) + ["grim"] * (i % 8 == 0)
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(400)], "doc_id long, toxic int")
+    out = toxicity.held_out(F.col("doc_id"))
+    flipped = labels.withColumn("toxic", F.when(out, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    model = toxicity.fit(docs, labels)
+    assert model == toxicity.fit(docs, flipped)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, model).collect()}
+    assert all((scores[i] >= 0.5) == (i % 8 == 0) for i in scores)
+    kept = toxicity.without_toxic(docs.withColumn("score", F.lit("mine")), labels)
+    assert kept.columns == ["doc_id", "text", "score"]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i in range(600) if i % 8]
+
+
+def test_odd_rows_and_no_labels(spark):
+    rows = [(1, None), (2, ""), (None, "words " * 50_000), (3, "a"), (3, "a")]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(1, None), (None, 1), (99, 1)], "doc_id long, toxic int")
+    for own in (labels, labels.limit(0)):
+        model = toxicity.fit(docs, own)
+        scores = [r["score"] for r in toxicity.scored(docs, model).collect()]
+        assert len(scores) == 5 and all(0 < s < 0.5 for s in scores)
+    assert toxicity.without_toxic(docs.limit(0), labels).count() == 0
+
+
+def test_unlabelled_text_is_not_taken_for_clean():
+    # Feature 0 marks positives and the toxic share of the unlabelled, feature 1 the rest.
+    cols = np.array([0] * 4 + [0] * 3 + [1] * 7)
+    positive = np.arange(14) < 4
+    w, b = toxicity.nn_pu(np.arange(14), cols, 14, 2, positive, 0.3)
+    assert w[0] + b > 0 > w[1] + b and np.isfinite(w).all()
+    as_negatives = np.log((3 / 10) / (7 / 10))  # what labels 0 would teach of the positives
+    assert w[0] + b > as_negatives
+
+
+# --- personal data --------------------------------------------------------------------
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        x = int(d) * (2 if i % 2 else 1)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def base_spans(text):
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card" and not (16 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            yield f"{kind}:{m.start()}:{m.end()}"
+
+
+def test_base_spans_of_random_texts():
+    rng = random.Random(5)
+    parts = list("a.@-+ 0123456789()é\n") + ["x@y.zz", "10.0.0.1", "4111111111111111", "+1 (555) 123-4567"]
+    for _ in range(3_000):
+        text = "".join(rng.choices(parts, k=rng.randrange(40)))
+        got = [f"{s['kind']}:{s['start']}:{s['end']}" for s in pii.spans_of(text) if not s["added"]]
+        assert got == list(base_spans(text)), text
+
+
+def test_base_spans_of_all_documents(spark):
+    texts = dict(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    for r in queries.QUERIES["op8_pii_spans"](spark, SF).collect():
+        spans = list(base_spans(texts[r["doc_id"]] or ""))
+        assert r["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        every = [s for s in r["spans"].split(",") if s]
+        assert set(spans) <= set(every)
+        for kind in pii.KINDS:
+            assert r[f"n_{kind}"] == sum(s.startswith(f"{kind}:") for s in every)
+
+
+@pytest.mark.parametrize(
+    "text, kind, hidden",
+    [
+        ("Write to john.doe [at] example [dot] com!", "email", "john.doe [at] example [dot] com"),
+        ("é jane at corp dot example dot org.", "email", "jane at corp dot example dot org"),
+        ("ｊｏｈｎ＠ｅｘａｍｐｌｅ．ｃｏｍ", "email", "ｊｏｈｎ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
+        ("an jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
+        ("a me&#64;here.example b", "email", "me&#64;here.example"),
+        ("at one nine two dot one six eight dot zero dot one.", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("call plus one four one five five five five two six seven one now", "phone",
+         "plus one four one five five five five two six seven one"),
+        ("card four one one one 1111 1111 1111", "card", "four one one one 1111 1111 1111"),
+        ("card four one one one one one one one one one one one one one one one", "card",
+         "four one one one one one one one one one one one one one one one"),
+        ("in​visible 10.0​.0.1 here", "ip", "10.0​.0.1"),
+    ],
+)
+def test_disguises_lead_back_to_the_source(text, kind, hidden):
+    found = [s for s in pii.spans_of(text) if s["kind"] == kind and s["added"]]
+    assert [s["value"] for s in found] == [hidden]
+    assert all(text[s["start"] : s["end"]] == s["value"] for s in found)
+
+
+def test_prose_is_left_alone():
+    for text in ("Look at the dot here, at dot at.", "one two", "Почта и дом", "Meet me at noon (at) home."):
+        assert pii.spans_of(text) == []
+
+
+def test_long_and_odd_texts(spark):
+    texts = ["a" * 300_000, "1" * 300_000, "+1 " * 100_000, "one " * 60_000, " " * 200_000 + "dot ", "@" * 100_000,
+             "a.b-" * 50_000 + "@", None, "", "１" * 50_000 + "@"]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).withColumn("spans", F.lit(1))
+    assert pii.find_pii(docs).count() == len(texts)
+    assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+# --- decontamination ------------------------------------------------------------------
+
+
+def brute_force(text, items, window):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    hit, found = set(), set()
+    for item, own in items:
+        own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), own or ""))
+        size = min(window, len(own))
+        for i in range(len(own) - size + 1 if size else 0):
+            for j in range(len(words) - size + 1):
+                if words[j : j + size] == own[i : i + size]:
+                    hit |= set(range(j, j + size))
+                    found.add(str(item))
+    return len(words), len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("block_words", [decontaminate.MAX_BLOCK_WORDS, 4])
+def test_windows_against_brute_force(spark, block_words):
+    rng = random.Random(9)
+    vocabulary = ["a", "B", "É", "ñu", "x1"]
+
+    def text(n):
+        return rng.choice(["", "-- "]) + ", ".join(rng.choices(vocabulary, k=n))
+
+    items = [(i, text(rng.randrange(7))) for i in range(12)] + [(3, text(5)), (50, None), (51, "..")]
+    rows = [(i, text(rng.randrange(30))) for i in range(80)] + [(1, None), (2, ""), (3, "x1"), (3, "x1")]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("items", F.lit(0))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.occurrences(docs, benchmark, window=4, block_words=block_words)
+    got = [
+        (r["doc_id"], r["text"], r["found"]["n_words"], r["hit"], r["found"]["items"], r["found"]["spans"])
+        for r in found.withColumn("hit", decontaminate.n_hit(F.col("found"))).collect()
+    ]
+    assert len(got) == len(rows)
+    for _, own, n_words, hit, ids, spans in got:
+        assert (n_words, hit, ids) == brute_force(own, items, 4)
+        for s in spans:
+            inside = own[s["start"] : s["end"]]
+            assert decontaminate.words_of(inside.encode()) == decontaminate.words_of(own.encode())[
+                s["first"] : s["last"] + 1
+            ]
+
+
+def test_clean_keeps_columns_and_the_untouched(spark):
+    passage = " ".join(f"word{i}" for i in range(12))
+    rows = [(1, "Before. " + passage.upper().replace(" ", "; ") + " after"), (2, passage[:40]), (3, None),
+            (4, "other " * 60_000)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("found", F.lit("mine"))
+    benchmark = spark.createDataFrame([(None, passage)], "item_id long, text string")
+    kept = decontaminate.clean(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4]
+    assert decontaminate.clean(docs, benchmark.limit(0)).count() == 4
+    assert decontaminate.clean(docs.limit(0), benchmark).count() == 0
