@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tieout import contract as c
+from tieout.functions import predicates
 from tieout.functions.predicates import predicate
 from tieout.operators.annotate import annotate, breaches, clean, flags, rejected, violation_counts
 from tieout.operators.uniqueness import repeated_values
@@ -159,12 +160,12 @@ def test_unusable_rules_are_refused(bad):
 def test_rule_ids_are_unique_across_datasets():
     one = c.DatasetContract("a", "A", "a", "v", (c.Rule("R", "v", "not_null"),))
     two = c.DatasetContract("b", "B", "b", "v", (c.Rule("R", "v", "not_null"),))
-    with pytest.raises(c.ContractError, match="both a and b"):
+    with pytest.raises(c.ContractError, match="more than once: R"):
         c.Contract({"a": one, "b": two}).validate()
 
 
 CONFIG = {
-    "recon": {"business_key": ["account_code"], "amount_tolerance_abs": 2.5},
+    "recon": {"amount_tolerance_abs": 2.5},
     "patterns": {"code": "^C$"},
     "reference": {"units": ["USD", 7]},
     "datasets": {
@@ -172,9 +173,9 @@ CONFIG = {
             "label": "Ledger",
             "primary_key": "id",
             "rules": [
-                {"id": "A", "column": "x", "check": "regex", "pattern_ref": "code"},
-                {"id": "B", "column": "y", "check": "allowed_values", "values_ref": "units"},
-                {"id": "C", "column": "z", "check": "numeric_range", "min": -1, "severity": "warn"},
+                {"id": "A", "column": "amount", "check": "regex", "pattern_ref": "code"},
+                {"id": "B", "column": "currency", "check": "allowed_values", "values_ref": "units"},
+                {"id": "C", "column": "amount", "check": "numeric_range", "min": -1, "severity": "warn"},
             ],
         }
     },
@@ -185,21 +186,46 @@ def test_contract_from_mapping():
     read = c.from_mapping(CONFIG)
     a, b, w = read.datasets["gl"].rules
     assert (a.pattern, b.values, w.minimum, w.severity) == ("^C$", ("USD", "7"), -1, "warn")
-    assert read.business_key == ("account_code",) and str(read.tolerance) == "2.5"
+    assert read.business_key == c.BUSINESS_KEY and str(read.tolerance) == "2.5"
     assert [r.id for r in read.datasets["gl"].active_rules] == ["A", "B"]
     assert not read.checks_periods
 
 
+def test_what_cannot_run_is_refused_before_any_write():
+    with pytest.raises(c.ContractError, match="business key must be"):
+        c.from_mapping({**CONFIG, "recon": {"business_key": ["account_code"]}})
+    for dataset, column, message in (("gl", "nope", "'nope' is not declared"), ("xx", "amount", "no dataset 'xx'")):
+        rules = [{"id": "A", "column": column, "check": "not_null"}]
+        with pytest.raises(c.ContractError, match=message):
+            c.from_mapping({"datasets": {dataset: {"rules": rules}}})
+
+
+@pytest.mark.parametrize("pattern, fine", [
+    (r"^US\$", False), (r"^US\\$", True), (r"^US\$$", True), ("^A|B$", True), ("A$", False), ("^A", False), ("^", False),
+])
+def test_only_a_real_anchor_counts(pattern, fine):
+    assert (c.rule_problem(c.Rule("R", "amount", "regex", pattern=pattern)) is None) == fine
+
+
+def test_patterns_test_the_whole_value(spark):
+    rows = spark.createDataFrame([(v,) for v in ("A", "B", "Axx", "xxB", "A\n", "US$", "US")], "v string")
+    def passing(pattern):
+        rule = c.Rule("R", "v", "regex", pattern=pattern)
+        return {r.v for r in rows.where(~predicates.breached(rule)).collect()}
+    assert passing("^A|B$") == {"A", "B"}
+    assert passing(r"^US\$$") == {"US$"}
+
+
 def test_unknown_reference_is_refused():
-    rules = [{"id": "A", "column": "x", "check": "regex", "pattern_ref": "none"}]
+    rules = [{"id": "A", "column": "amount", "check": "regex", "pattern_ref": "none"}]
     with pytest.raises(c.ContractError, match="no shared pattern"):
         c.from_mapping({"datasets": {"gl": {"rules": rules}}})
 
 
 @pytest.mark.parametrize("ladder, message", [
-    (c.PRECEDENCE[::-1], "out of order"),
-    (c.PRECEDENCE[1:], "missing"),
-    (c.PRECEDENCE + ("OTHER",), "unknown"),
+    (c.PRECEDENCE[::-1], "rung 1 is"),
+    (c.PRECEDENCE[1:], "rung 1 is"),
+    (c.PRECEDENCE + ("OTHER",), "rung 7 is None, declared as OTHER"),
 ])
 def test_ladder_is_fixed(ladder, message):
     with pytest.raises(c.ContractError, match=message):

@@ -45,8 +45,12 @@ def parsed(column: str) -> str:
 
 
 def whole_value(pattern: str) -> str:
-    """An anchored pattern that also refuses a trailing line feed, which $ accepts."""
-    return pattern[:-1] + r"\z" if pattern.endswith("$") else pattern
+    """An anchored pattern that tests all of the value.
+
+    The group keeps alternatives together, and \\z, unlike $, refuses a trailing
+    line feed.
+    """
+    return rf"^(?:{pattern[1:-1]})\z"
 
 
 def predicate(rule: Rule) -> str:

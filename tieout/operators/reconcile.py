@@ -135,14 +135,16 @@ def break_status(tolerance: Decimal = TOLERANCE) -> Column:
     """
     gl_rows, ap_rows = F.col("gl_row_count"), F.col("ap_row_count")
     allowed = F.lit(Decimal(tolerance)).cast(schemas.MONEY)
-    return (
-        F.when(ap_rows > 1, DUPLICATE_IN_SUBLEDGER)
-        .when((gl_rows > 0) & (ap_rows == 0), MISSING_FROM_SUBLEDGER)
-        .when((ap_rows > 0) & (gl_rows == 0), MISSING_FROM_GL)
-        .when(F.col("abs_amount_difference") > allowed, AMOUNT_MISMATCH)
-        .when(F.col("gl_fiscal_period") != F.col("ap_fiscal_period"), TIMING_DIFFERENCE)
-        .otherwise(MATCHED)
-    )
+    applies = {
+        DUPLICATE_IN_SUBLEDGER: ap_rows > 1,
+        MISSING_FROM_SUBLEDGER: (gl_rows > 0) & (ap_rows == 0),
+        MISSING_FROM_GL: (ap_rows > 0) & (gl_rows == 0),
+        AMOUNT_MISMATCH: F.col("abs_amount_difference") > allowed,
+        TIMING_DIFFERENCE: F.col("gl_fiscal_period") != F.col("ap_fiscal_period"),
+    }
+    # The declared order is the order of evaluation; what is left over is matched.
+    rungs = [F.when(applies[s], F.lit(s)) for s in PRECEDENCE if s in applies]
+    return F.coalesce(*rungs, F.lit(MATCHED))
 
 
 def reconcile(
