@@ -5,12 +5,15 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF
+
 from tieout import contract as c
 from tieout import schemas
 from tieout.functions.casts import conform
 from tieout.operators import gold, scorecard
 from tieout.operators.rank import global_rank
 from tieout.operators.reconcile import reconcile
+from tieout.plans.workspace import workspace
 
 SIDE = (
     "account_code string, account_name string, vendor_code string, vendor_name string,"
@@ -180,3 +183,23 @@ def test_score_is_of_received_rows(spark):
     assert row.dq_score_pct == Decimal("57.1429")
     control = scorecard.conservation_control(made).first()
     assert (control.expected, control.actual) == (7, 7)
+
+
+def test_stored_exceptions_hold_disjoint_ranks(spark, lake):
+    detail = workspace(spark, SF).gold("recon_detail")
+    silver = {n: workspace(spark, SF).silver(n) for n in ("gl", "ap")}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = gold.exceptions(detail, silver["gl"], silver["ap"], lake.scratch())
+        stored = lake.write(ranked, "gold", "recon_exceptions")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = stored.groupBy(F.input_file_name()).agg(
+        F.min("exception_rank").alias("first"), F.max("exception_rank").alias("last")
+    )
+    ends = sorted((r["first"], r["last"]) for r in ranges.collect())
+    assert len(ends) == 8
+    assert all(last < first for (_, last), (first, _) in zip(ends, ends[1:]))

@@ -25,7 +25,7 @@ def write(folder, name, text):
 
 def read(spark, path, **options):
     rows = extracts.read_extract(spark, path, SOURCE, "gl", **options)
-    return sorted(tuple(r) for r in rows.drop("_source_file").collect())
+    return sorted(tuple(r) for r in rows.drop("_source_file", extracts.MALFORMED).collect())
 
 
 def test_text_is_kept_as_received(spark, tmp_path):
@@ -48,10 +48,10 @@ def test_all_columns_are_text(spark, tmp_path):
 
 
 @pytest.mark.parametrize("header, message", [
-    ("id,amount,note", "order"),
-    ("id,note", "missing"),
-    ("id,note,amount,extra", "unexpected"),
-    ("id,note,sum", "missing .*unexpected"),
+    ("id,amount,note", "column 2 should be note, is amount; column 3 should be amount, is note"),
+    ("id,note", "column 3 should be amount, is nothing"),
+    ("id,note,amount,extra", "column 4 should be nothing, is extra"),
+    ("id,note,sum", "column 3 should be amount, is sum"),
 ])
 def test_header_must_match(spark, tmp_path, header, message):
     path = write(tmp_path / "x", "a.csv", header + "\n1,2,3\n")
@@ -77,6 +77,15 @@ def test_completeness_counts_lines_not_rows(spark, tmp_path):
     assert tuple(short) == ("gl", 3, 2, False)
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_ragged_lines_are_marked(spark, tmp_path, multi_line):
+    write(tmp_path / "x", "a.csv", "id,note,amount\n1,2,3\n,,\n")
+    path = write(tmp_path / "x", "b.csv", "id,note,amount\n1,2,3,4\n5,6\n")
+    rows = extracts.read_extract(spark, path, SOURCE, "gl", multi_line=multi_line)
+    marked = {r.id for r in rows.collect() if r[extracts.MALFORMED] is not None}
+    assert marked == {"1", "5"} and rows.count() == 4
+
+
 def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
     path = write(tmp_path / "x", "a.csv", 'id,note,amount\n1,"two\nlines",3\n')
     assert read(spark, path, multi_line=True) == [("1", "two\nlines", "3")]
@@ -187,8 +196,21 @@ def test_sizing_grows_with_the_input():
     partitions, split = "spark__sql__shuffle__partitions", "spark__sql__files__maxPartitionBytes"
     small, large = session.sizing(1 << 30, 8), session.sizing(1 << 40, 400)
     huge = session.sizing(100 << 40, 4000)
-    assert [int(x[partitions]) for x in (small, large, huge)] == [16, 1024, 32768]
-    assert int(small[split]) == 128 << 20 and int(huge[split]) == 2048 << 20
+    assert [int(x[partitions]) for x in (small, large, huge)] == [16, 1024, 102_400]
+    assert (100 << 40) / 4 / int(huge[partitions]) == 256 << 20
+    assert int(small[split]) == int(large[split]) == 128 << 20
+    assert int(huge[split]) == (100 << 40) // 50_000
+
+
+def test_active_session_takes_settings_or_raises(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.build_session(spark__sql__shuffle__partitions=7) is spark
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
+        with pytest.raises(ValueError, match="spark.driver.memory"):
+            session.build_session(spark__driver__memory="77g")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 # --- the whole way from files ---------------------------------------------------------------
@@ -245,3 +267,12 @@ def test_lost_values_stop_the_refining(spark, lake):
     pipeline.land_frames(lake, {"gl": odd, "ap": ap}, "memory")
     with pytest.raises(ControlFailure, match="posting_date"):
         pipeline.refine(lake, DEFAULT)
+
+
+@pytest.mark.parametrize("line", ["surplus", "missing"])
+def test_ragged_extracts_do_not_land(spark, lake, files, tmp_path, line):
+    header = ",".join(schemas.GL_SOURCE.fieldNames())
+    cells = ["1"] * (len(schemas.GL_SOURCE) + (2 if line == "surplus" else -1))
+    write(tmp_path / "gl", "ragged.csv", header + "\n" + ",".join(cells) + "\n")
+    with pytest.raises(ControlFailure, match="landing gl: 1 lines"):
+        pipeline.land_extracts(lake, files)

@@ -91,10 +91,19 @@ def test_tampered_data(spark, tmp_path, change, metric):
 
 def test_require_names_the_control(spark):
     rows = spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], "control string, expected int, actual int")
-    with pytest.raises(controls.ControlFailure, match="what: b: expected 1, found 2"):
+    with pytest.raises(controls.ControlFailure, match="what: 1 failed: b: expected 1, found 2"):
         controls.require(rows, "what")
 
 
+def test_require_counts_all_failures_and_takes_metrics(spark):
+    rows = spark.createDataFrame([(f"m{i:02}", i, i + 1) for i in range(30)], "metric string, expected int, actual int")
+    with pytest.raises(controls.ControlFailure, match="what: 30 failed: m00: .*m19: expected 19") as raised:
+        controls.require(rows, "what")
+    assert "m20" not in str(raised.value)
+    with pytest.raises(controls.ControlFailure, match="30 failed: m00: expected 0, found 1$"):
+        controls.require(rows, "what", shown=1)
+
+
 def test_fates_land_in_their_status(spark, tmp_path):
     lake = Lakehouse(spark, root=str(tmp_path))
     pipeline.land_frames(lake, {n: f(spark, SF) for n, f in fixtures.LINES.items()}, SF)

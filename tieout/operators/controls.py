@@ -16,12 +16,18 @@ class ControlFailure(RuntimeError):
     """A control did not hold; the tables must not be used."""
 
 
-def require(controls: DataFrame, what: str) -> None:
-    """Raise with the failed rows of a (control, expected, actual) frame."""
-    failed = controls.where(~F.col("expected").eqNullSafe(F.col("actual"))).take(20)
-    if failed:
-        notes = [f"{r.control}: expected {r.expected}, found {r.actual}" for r in failed]
-        raise ControlFailure(f"{what}: " + "; ".join(notes))
+def require(controls: DataFrame, what: str, shown: int = 20) -> None:
+    """Raise if a row of (control, expected, actual) fails; `metric` may name the control.
+
+    The message has the number of all that failed, and details of `shown` of them.
+    """
+    name = "control" if "control" in controls.columns else "metric"
+    failed = controls.where(~F.col("expected").eqNullSafe(F.col("actual")))
+    first = failed.orderBy(name).take(shown)
+    if first:
+        total = len(first) if len(first) < shown else failed.count()
+        notes = [f"{r[name]}: expected {r.expected}, found {r.actual}" for r in first]
+        raise ControlFailure(f"{what}: {total} failed: " + "; ".join(notes))
 
 
 def compare(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -87,8 +87,8 @@ def exceptions(detail: DataFrame, gl: DataFrame, ap: DataFrame, scratch: Scratch
     Labels come from all silver rows, since a key missing from the GL has no GL
     row to take one from. A missing label never drops the key. Rows are ranked
     before they are labelled: cutting the ranges samples its input, which is
-    then the bare scan of the detail. The stored table keeps the ranges, so the
-    top ranks sit in its first files.
+    then the bare scan of the detail. Rows leave in ranges of the rank, sorted, so
+    that stored files hold disjoint ranges and a filter on the rank skips the rest.
     """
     accounts, vendors, ranked = together(
         lambda: scratch.keep(labels(gl, "account_code", "account_name"), "account-labels"),
@@ -105,7 +105,8 @@ def exceptions(detail: DataFrame, gl: DataFrame, ap: DataFrame, scratch: Scratch
             }
         )
     )
-    return conform(labelled, schemas.RECON_EXCEPTIONS, "recon_exceptions")
+    by_rank = labelled.repartitionByRange("exception_rank").sortWithinPartitions("exception_rank")
+    return conform(by_rank, schemas.RECON_EXCEPTIONS, "recon_exceptions")
 
 
 def gold_controls(detail: DataFrame, summary: DataFrame, exceptions: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from tieout.operators.controls import ControlFailure, require
 from tieout.operators.reconcile import recon_controls, reconcile
 from tieout.operators.refine import conservation, losses, to_quarantine, with_types
 from tieout.session import together
-from tieout.sources.extracts import completeness, read_extract, to_bronze, with_lineage
+from tieout.sources.extracts import MALFORMED, completeness, read_extract, to_bronze, with_lineage
 from tieout.sources.lakehouse import Lakehouse
 
 
@@ -44,11 +44,17 @@ def land_extracts(
     def land(dataset: str, path: str) -> None:
         source = schemas.SOURCES[dataset]
         extract = read_extract(lake.spark, path, source, dataset, multi_line, escape)
+        malformed = Observation(f"{dataset}-malformed-lines")
+        counted = extract.observe(malformed, F.count_if(F.col(MALFORMED).isNotNull()).alias("lines"))
         landed = lake.write(
-            to_bronze(with_lineage(extract, batch_id), dataset),
+            to_bronze(with_lineage(counted, batch_id), dataset),
             "bronze",
             contract.datasets[dataset].table,
         )
+        if malformed.get["lines"]:
+            raise ControlFailure(
+                f"landing {dataset}: {malformed.get['lines']} lines have too few or too many cells"
+            )
         if not multi_line:
             counted = completeness(lake.spark, path, landed, dataset)
             require(
@@ -138,8 +144,12 @@ def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
         contract.precedence,
         contract.checks_periods,
     )
+    # Rebalanced, or every task would write a file per status.
     detail = lake.write(
-        gold.detail(recon), "gold", "recon_detail", partition_by=["break_status"]
+        gold.detail(recon).hint("rebalance", "break_status"),
+        "gold",
+        "recon_detail",
+        partition_by=["break_status"],
     )
 
     def rank() -> DataFrame:

@@ -9,43 +9,50 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
+ENGINE = {
+    # Extract timestamps are written in UTC.
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Generated methods beyond this are not compiled by HotSpot.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Detail rows are written by status; six open writers spare a sort.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+}
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
 
 
 def build_session(app_name: str = "tieout", **config: str) -> SparkSession:
-    """A session with the engine's settings; an active one is used as it is."""
+    """A session with the engine's settings and those given.
+
+    On an active session all are applied, too; one that cannot change any more
+    and differs raises.
+    """
+    wanted = ENGINE | {key.replace("__", "."): str(value) for key, value in config.items()}
     active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    builder = (
-        SparkSession.builder.appName(app_name)
-        # Extract timestamps are written in UTC.
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Generated methods beyond this are not compiled by HotSpot.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        # Detail rows are written by status; six open writers spare a sort.
-        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
-    )
-    for key, value in config.items():
-        builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    if active is None:
+        return SparkSession.builder.appName(app_name).config(map=wanted).getOrCreate()
+    fixed = {k: v for k, v in wanted.items() if not active.conf.isModifiable(k)}
+    differing = {k: v for k, v in fixed.items() if active.conf.get(k, None) != v}
+    if differing:
+        raise ValueError(f"the running session cannot take {differing}")
+    for key in wanted.keys() - fixed.keys():
+        active.conf.set(key, wanted[key])
+    return active
 
 
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings for an input of this size, to pass to `build_session`.
 
     About a quarter of a ledger row is shuffled: key, amount and period. Shuffle
-    partitions aim at 256 MB. Reads and shuffles both stop growing in number at
-    some point and grow in size instead, since a shuffle has as many blocks as
-    their product. AQE merges partitions that turn out small.
+    partitions hold 256 MB whatever the input, and AQE merges what turns out small.
+    Splits are 128 MB up to 6 TB and then grow, so that there are 50,000 of them.
     """
     mb = 1 << 20
-    partitions = min(-(-input_bytes // (4 * 256 * mb)), 1 << 15)
-    split = min(max(input_bytes // 50_000, 128 * mb), 2048 * mb)
+    partitions = -(-input_bytes // (4 * 256 * mb))
+    split = max(input_bytes // 50_000, 128 * mb)
     return {
         "spark__sql__shuffle__partitions": str(max(2 * cores, partitions)),
         "spark__sql__files__maxPartitionBytes": str(split),
