@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import io
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
 from tieout.contract import GL, BUSINESS_KEY
-from tieout.operators import annotate, gold, reconcile, reports
+from tieout.operators import annotate, gold, reconcile, reports, uniqueness
 from tieout.plans.workspace import workspace
 
 
@@ -79,10 +80,34 @@ def test_rules_are_evaluated_once(w, scratch):
         assert plan(part).count("GL_NN_AMOUNT") <= 2  # Generate and its output line
 
 
-def test_many_repeated_ids_fall_back_to_a_sort_merge_join(spark, w, scratch):
+def test_few_repeated_ids_shuffle_no_row(spark, w, scratch):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         p = plan(annotate.annotate(w.bronze("gl"), GL.rules, scratch))
-    assert "SortMergeJoin" in p and "Window" not in p
+    assert "SortMergeJoin" not in p and "Exchange hashpartitioning" not in p
+
+
+def test_many_repeated_ids_shuffle_only_rows_that_may_repeat(spark, w, scratch):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        p = plan(annotate.annotate(w.bronze("gl"), GL.rules, scratch, most_broadcast=-1))
+    assert "SortMergeJoin" in p and "Union" in p and "Window" not in p
+    # One exchange of candidates, one of the repeated ids; the other branch has none.
+    assert p.count("Exchange hashpartitioning") == 2
+    candidates, others = p.split("SortMergeJoin")[1].split("Scan parquet", 1)[0], p.split("Scan parquet")[-2]
+    assert "Exchange hashpartitioning(gl_entry_id" in candidates
+    assert "Exchange hashpartitioning" not in others
+
+
+@pytest.mark.parametrize("bits", [6, 8, 26])
+def test_bitmap_of_repeated_ids_misses_none(spark, scratch, bits):
+    ids = [f"id{i}" for i in range(500)] + [f"id{i}" for i in range(0, 500, 7)] + ["HOT"] * 300
+    rows = spark.createDataFrame([(i,) for i in ids + ["", " ", None] * 50], "gl_entry_id string")
+    rule = [r for r in GL.rules if r.check == "unique"]
+    found = uniqueness.attach_copies(rows, rule, scratch, most_broadcast=-1, bits=bits).collect()
+    counts = Counter(ids)
+    assert len(found) == rows.count()
+    for r in found:
+        n = counts[r.gl_entry_id]
+        assert r["_copies_gl_entry_id"] == (n if n > 1 else None)
 
 
 def test_hot_id_is_split_when_nothing_is_broadcast(spark, scratch):
@@ -100,7 +125,7 @@ def test_hot_id_is_split_when_nothing_is_broadcast(spark, scratch):
         spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
     ):
-        found = annotate.annotate(rows, rule, scratch)
+        found = annotate.annotate(rows, rule, scratch, most_broadcast=-1)
         table = f"{scratch.root}/annotated"
         found.write.parquet(table)
         p = final_plan(annotate.rejected(found).select("payload"))

@@ -19,18 +19,20 @@ from tieout.operators.uniqueness import attach_copies
 from tieout.sources.lakehouse import Scratch
 
 
-def annotate(df: DataFrame, rules: Sequence[Rule], scratch: Scratch) -> DataFrame:
+def annotate(
+    df: DataFrame, rules: Sequence[Rule], scratch: Scratch, **lookup: int
+) -> DataFrame:
     """Every row with the ids of the rules it breached; '' and 0 when clean.
 
     The ids come out of a generator of one element. A filter on a projected
     column would be pushed below it, and its copy of all rules makes a method
     too large for the JIT; nothing is pushed below a generator's output, so the
-    rules are evaluated once per row.
+    rules are evaluated once per row. `lookup` goes to `attach_copies`.
     """
     rules = active(rules)
     columns = df.columns
     ids = F.explode(F.array(failed_ids(rules))).alias(IDS)
-    checked = attach_copies(df, rules, scratch).select(*columns, ids)
+    checked = attach_copies(df, rules, scratch, **lookup).select(*columns, ids)
     return checked.withColumn(COUNT, failed_count())
 
 

@@ -2,9 +2,13 @@
 
 A window partitioned by the column would put every row of a hot value, and all
 blank ones, into one task. Instead values are counted, which combines on the
-map side, and only those that repeat are kept. That lookup is written once:
-rows meet it in a broadcast join while it is small and in a skew-splitting
-sort-merge join when it is not.
+map side, and only those that repeat are kept, in a table written once.
+
+While that table has few rows it is broadcast. Beyond that only rows whose value
+may repeat are joined with it: values are hashed to 2**bits places, places of
+repeated values are bits of a map, and the map, whose size depends on `bits`
+alone, is broadcast. All other rows go past the join and are never shuffled. A
+place that two values share sends rows to the join for nothing; it misses none.
 """
 
 from __future__ import annotations
@@ -18,6 +22,12 @@ from tieout.contract import Rule
 from tieout.functions.predicates import blank, copies_column, name
 from tieout.sources.lakehouse import Scratch
 
+# Rows of a broadcast table of repeated values, and places for larger ones: at
+# most 2**26 / 64 words, one million rows of two numbers.
+MOST_BROADCAST = 200_000
+BITS = 26
+WORD_BITS = 6
+
 
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
     """Non-blank values held by more than one row, with their number of rows."""
@@ -29,9 +39,41 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def attach_copies(df: DataFrame, rules: Iterable[Rule], scratch: Scratch) -> DataFrame:
+def attach_copies(
+    df: DataFrame,
+    rules: Iterable[Rule],
+    scratch: Scratch,
+    most_broadcast: int = MOST_BROADCAST,
+    bits: int = BITS,
+) -> DataFrame:
     """Add the copies column of every column under a unique rule, NULL where unrepeated."""
     for column in sorted({r.column for r in rules if r.check == "unique"}):
         repeated = scratch.keep(repeated_values(df, column), f"repeated-{column}")
-        df = df.join(repeated, column, "left")
+        if repeated.count() <= most_broadcast:
+            df = df.join(F.broadcast(repeated), column, "left")
+        else:
+            df = joined_where_possible(df, repeated, column, scratch, bits)
     return df
+
+
+def joined_where_possible(
+    df: DataFrame, repeated: DataFrame, column: str, scratch: Scratch, bits: int
+) -> DataFrame:
+    """df left-joined with repeated, shuffling only rows that may have a match."""
+    place = F.pmod(F.xxhash64(name(column)), F.lit(1 << bits))
+    word = F.shiftright(place, WORD_BITS)
+    bit = F.pmod(place, F.lit(1 << WORD_BITS)).cast("int")
+    words = (
+        repeated.select(word.alias("_word"), bit.alias("_bit"))
+        .groupBy("_word")
+        .agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    )
+    words = F.broadcast(scratch.keep(words, f"map-{column}"))
+    marked = df.withColumn("_word", word).join(words, "_word", "left")
+    may_repeat = F.getbit(F.coalesce("_bits", F.lit(0).cast("bigint")), bit) == 1
+    columns = df.columns
+    candidates = marked.where(may_repeat).select(*map(name, columns)).join(repeated, column, "left")
+    others = marked.where(~may_repeat).select(
+        *map(name, columns), F.lit(None).cast("bigint").alias(copies_column(column))
+    )
+    return candidates.unionByName(others)
