@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import SF
+from tieout.plans import catalog, oracle
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
@@ -27,13 +28,13 @@ def duck():
 
 
 def test_each_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, duck, name):
-    df = driver.queries()[name](spark, SF)
-    relation = duck.sql(driver.oracle_sql()[name])
+    df = catalog.queries()[name](spark, SF)
+    relation = duck.sql(oracle.oracle_sql()[name])
     columns = sorted(df.columns)
     assert columns == sorted(relation.columns)
     places = [relation.columns.index(c) for c in columns]

@@ -65,9 +65,11 @@ def _source_columns(dataset: str) -> list[str]:
 
 def _extract(w: Workspace, dataset: str) -> tuple[str, DataFrame]:
     """The dataset written as CSV files and read back through the extract reader."""
-    path = f"{run_folder(w.spark)}/{dataset}"
-    extracts.write_extract(w.source(dataset), path)
-    source = schemas.SOURCES[dataset]
+    if dataset not in w.extracts:
+        path = f"{run_folder(w.spark)}/{dataset}"
+        extracts.write_extract(w.source(dataset), path)
+        w.extracts[dataset] = path
+    path, source = w.extracts[dataset], schemas.SOURCES[dataset]
     return path, extracts.read_extract(w.spark, path, source, dataset)
 
 
@@ -164,10 +166,12 @@ def _failed_rule_count(w):
     return _ids_of_all(w, "_failed_rule_count")
 
 
-@query("rule_flags")
-def _rule_flags(w):
-    """The flags of the GL rules for every GL row."""
-    return contract_checks.flags(w.bronze("gl"), w.rules("gl"), w.scratch(), ["gl_entry_id"])
+@per_dataset("rule_flags")
+def _rule_flags(w, dataset):
+    """A flag per rule for every row."""
+    return contract_checks.flags(
+        w.bronze(dataset), w.rules(dataset), w.scratch(), [w.primary_key(dataset)]
+    )
 
 
 @query("rule_violation_counts")
@@ -339,16 +343,6 @@ def _gold_controls(w):
 # --- scorecards ---------------------------------------------------------------------------
 
 
-@query("rule_catalogue")
-def _rule_catalogue(w):
-    """Every rule with the number of landed rows it was evaluated on."""
-    rows = refine.tagged_counts(w.every("bronze"), "bronze").select(
-        "dataset", F.col("n").alias("rows_evaluated")
-    )
-    # As many rows as datasets, joined to as many as rules.
-    return scorecard.rule_catalogue(w.spark, w.contract).join(rows, "dataset", "left")
-
-
 @query("rule_violations")
 def _rule_violations(w):
     return scorecard.rule_violations(w.every("quarantine"))

@@ -301,9 +301,9 @@ def _checks_of(kind: str) -> str:
     return f"WITH {FIXTURES}, {', '.join(inner)}\n" + "\nUNION ALL ".join(parts)
 
 
-def _flags() -> str:
-    columns = ",\n".join(f"({c}) AS flag_{i}" for i, _, _, c in GL_RULES)
-    return f"WITH {FIXTURES} SELECT gl_entry_id, {columns} FROM gl"
+def _flags(side: str, key: str) -> str:
+    columns = ",\n".join(f"({c}) AS flag_{i}" for i, _, _, c in RULES[side])
+    return f"WITH {FIXTURES} SELECT {key}, {columns} FROM {side}"
 
 
 def _violation_counts() -> str:
@@ -491,7 +491,8 @@ FROM {0}_q"""
         },
         "failed_rule_ids": _with(ANNOTATED, all_rows.format("_failed_rule_ids")),
         "failed_rule_count": _with(ANNOTATED, all_rows.format("_failed_rule_count")),
-        "rule_flags": _flags(),
+        "rule_flags_gl": _flags("gl", "gl_entry_id"),
+        "rule_flags_ap": _flags("ap", "ap_line_id"),
         "rule_violation_counts": _violation_counts(),
         # silver and quarantine
         "annotate_gl": _with(ANNOTATED, "SELECT *, 'fixture-load' AS _batch_id FROM gl_a"),
@@ -592,11 +593,6 @@ FROM {0}_q"""
             ),
         ),
         # scorecards
-        "rule_catalogue": _with(
-            FIXTURES + "," + _catalogue(),
-            "SELECT cat.*, CASE dataset WHEN 'gl' THEN (SELECT count(*) FROM gl)"
-            " ELSE (SELECT count(*) FROM ap) END AS rows_evaluated FROM cat",
-        ),
         "rule_violations": _with(SILVER + SCORES, "SELECT * FROM fired"),
         "dq_rule_scorecard": _with(SILVER + SCORES, "SELECT * FROM rules"),
         "dq_scorecard": _with(SILVER + SCORES, "SELECT * FROM score"),

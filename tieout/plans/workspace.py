@@ -26,6 +26,7 @@ class Workspace:
     sf_dir: str
     lake: Lakehouse
     contract: Contract = DEFAULT
+    extracts: dict[str, str] = field(default_factory=dict)
     _done: set = field(default_factory=set)
 
     @classmethod
