@@ -11,8 +11,8 @@ notices below. It is small because licenses are: the join's strategy follows
 its size. All documents are scanned by built-in functions only; of the lines,
 those that match nothing leave before anything is shuffled.
 
-Defined cases: a NULL text and a text without words have no license. Documents
-with equal id and text share their findings. Several known licenses with the
+Defined cases: a NULL text and a text without words have no digest and no
+license. Repeated documents each get their row. Several known licenses with the
 same canonical form are reported under the smallest id.
 """
 
@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tieout.llm.common import table
+from tieout.llm.common import scratch_of, table
 
 # Spellings on the left count as those on the right.
 SPELLINGS = (
@@ -118,22 +118,50 @@ KNOWN = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A line that starts, comment signs aside, with a claim of copyright.
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;>-]*(copyright|\(c\)|\x{A9}|all rights reserved)[^\n]*$"
-NOT_WORDS = r"[\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}\x{A0}\x{2010}-\x{201F}\x{2026}]+"
+# Punctuation and white space but the line feed.
+NOT_WORDS = (
+    r"[\x{00}-\x{09}\x{0B}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}\x{A0}\x{2010}-\x{201F}\x{2026}]+"
+)
+SEVERAL_WORDS = tuple(pair for pair in SPELLINGS if " " in pair[0].strip())
+
 
+def spelled(text: Column, spellings) -> Column:
+    return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), spellings, text)
 
-def canonical(text: Column) -> Column:
-    """Words in canonical form, one blank between them; '' for NULL."""
+
+def canonical_lines(text: Column) -> Column:
+    """Lines in canonical form, blanks around them allowed; '' for NULL."""
     lower = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
     words = F.regexp_replace(F.regexp_replace(lower, COPYRIGHT_LINE, ""), NOT_WORDS, " ")
-    padded = F.concat(F.trim(words), F.lit(" "))
-    spelled = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, padded)
-    return F.trim(spelled)
+    return spelled(F.concat(words, F.lit(" ")), SPELLINGS)
+
+
+def digest(form: Column) -> Column:
+    """SHA-256 of a canonical form without blanks around it; NULL if it has no words."""
+    trimmed = F.array(F.trim(form))
+    return F.transform(trimmed, lambda f: F.when(f != "", F.sha2(f, 256)))[0]
+
+
+def whole(lines: Column) -> Column:
+    """The canonical form of all lines together."""
+    return spelled(F.regexp_replace(lines, r"[ \n]+", " "), SEVERAL_WORDS)
+
 
+def digests(text: Column) -> Column:
+    """Array of one (digest, lines): of the text and of each of its lines that has words.
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; NULL for a text without words."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+    The form is bound by a lambda and leaves through a generator, because an
+    optimiser that copies it into several places makes it several times.
+    """
+    return F.transform(
+        F.array(canonical_lines(text)),
+        lambda form: F.struct(
+            digest(whole(form)).alias("digest"),
+            F.filter(
+                F.transform(F.split(form, "\n"), digest), lambda d: d.isNotNull()
+            ).alias("lines"),
+        ),
+    )
 
 
 def known_digests(spark, known: DataFrame | None = None) -> DataFrame:
@@ -141,7 +169,7 @@ def known_digests(spark, known: DataFrame | None = None) -> DataFrame:
     if known is None:
         known = spark.createDataFrame(list(KNOWN), "license string, text string")
     return (
-        known.select(digest(F.col("text")).alias("digest"), "license")
+        known.select("license", F.inline(digests(F.col("text"))))
         .where("digest IS NOT NULL")
         .groupBy("digest")
         .agg(F.min("license").alias("license"))
@@ -154,25 +182,30 @@ def license_scan(
     text_col: str = "text",
     known: DataFrame | None = None,
 ) -> DataFrame:
-    """Per document: its digest, the license it is, and licenses its lines are."""
-    known = known_digests(docs.sparkSession, known)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    entire = texts.select("doc_id", F.md5("text").alias("_text"), digest("text").alias("digest"))
-    lines = texts.select(
-        "doc_id", F.md5("text").alias("_text"), F.explode(F.split("text", "\n")).alias("line")
+    """Per document: its digest, the license it is, and licenses its lines are.
+
+    Texts are read once; their digests are stored and joined from there.
+    """
+    scratch = scratch_of(docs.sparkSession)
+    known = scratch.keep(known_digests(docs.sparkSession, known), "known")
+    scanned = scratch.keep(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(id_col).alias("doc_id"),
+            F.inline(digests(F.col(text_col))),
+        ),
+        "digests",
     )
     notices = (
-        lines.select("doc_id", "_text", digest("line").alias("digest"))
+        scanned.select("row", F.explode("lines").alias("digest"))
         .join(known, "digest")
-        .groupBy("doc_id", "_text")
+        .groupBy("row")
         .agg(F.concat_ws(",", F.sort_array(F.collect_set("license"))).alias("line_licenses"))
-        .withColumnRenamed("doc_id", "_id")
-        .withColumnRenamed("_text", "_same_text")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_same_text"))
     return (
-        entire.join(known, "digest", "left")
-        .join(notices, same, "left")
+        scanned.drop("lines")
+        .join(known, "digest", "left")
+        .join(notices, "row", "left")
         .select(
             "doc_id",
             "digest",
@@ -187,18 +220,23 @@ def op6_license_digests(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def _canonical_sql(text: str) -> str:
+def _spelled_sql(form: str, spellings) -> str:
+    for left, right in spellings:
+        form = f"replace({form}, '{left}', '{right}')"
+    return form
+
+
+def _lines_sql(text: str) -> str:
     lower = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
     bare = f"regexp_replace({lower}, '{COPYRIGHT_LINE}', '', 'g')"
-    form = f"trim(regexp_replace({bare}, '{NOT_WORDS}', ' ', 'g')) || ' '"
-    for left, right in SPELLINGS:
-        form = f"replace({form}, '{left}', '{right}')"
-    return f"trim({form})"
+    return _spelled_sql(f"regexp_replace({bare}, '{NOT_WORDS}', ' ', 'g') || ' '", SPELLINGS)
+
 
+def _digest_sql(form: str) -> str:
+    return f"CASE WHEN trim({form}) <> '' THEN sha256(trim({form})) END"
 
-def _digest_sql(text: str) -> str:
-    form = _canonical_sql(text)
-    return f"CASE WHEN {form} <> '' THEN sha256({form}) END"
+
+_WHOLE_SQL = _spelled_sql("regexp_replace(form, '[ \\n]+', ' ', 'g')", SEVERAL_WORDS)
 
 
 def _quoted(text: str) -> str:
@@ -208,19 +246,23 @@ def _quoted(text: str) -> str:
 ORACLE_SQL = f"""
 WITH known AS (
   SELECT digest, min(license) AS license FROM (
-    SELECT license, {_digest_sql("text")} AS digest
-    FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)}) k(license, text)
-  ) GROUP BY digest
+    SELECT license, {_digest_sql(_WHOLE_SQL)} AS digest FROM (
+      SELECT license, {_lines_sql("text")} AS form
+      FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)}) k(license, text)
+    )
+  ) WHERE digest IS NOT NULL GROUP BY digest
+), forms AS (
+  SELECT row_number() OVER () AS row_id, doc_id, {_lines_sql("text")} AS form FROM documents
 ), entire AS (
-  SELECT doc_id, md5(text) AS text_md5, {_digest_sql("text")} AS digest FROM documents
+  SELECT row_id, doc_id, {_digest_sql(_WHOLE_SQL)} AS digest FROM forms
 ), lines AS (
-  SELECT doc_id, md5(text) AS text_md5, unnest(string_split(text, chr(10))) AS line FROM documents
+  SELECT row_id, unnest(string_split(form, chr(10))) AS line FROM forms
 ), notices AS (
-  SELECT doc_id, text_md5, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses
-  FROM (SELECT doc_id, text_md5, {_digest_sql("line")} AS digest FROM lines) l
-  JOIN known USING (digest) GROUP BY doc_id, text_md5
+  SELECT row_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses
+  FROM (SELECT row_id, {_digest_sql("line")} AS digest FROM lines) l
+  JOIN known USING (digest) GROUP BY row_id
 )
 SELECT e.doc_id, e.digest, k.license, coalesce(n.line_licenses, '') AS line_licenses
 FROM entire e LEFT JOIN known k ON e.digest = k.digest
-LEFT JOIN notices n ON e.doc_id IS NOT DISTINCT FROM n.doc_id AND e.text_md5 = n.text_md5
+LEFT JOIN notices n ON e.row_id = n.row_id
 """
