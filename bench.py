@@ -14,6 +14,9 @@ from pyspark.sql import SparkSession
 
 from tieout.plans import catalog, pipeline
 from tieout.plans import workspace as ws
+from tieout.session import run_folder
+from tieout.sources.extracts import write_extract
+from tieout.sources.lakehouse import Lakehouse
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -62,6 +65,11 @@ def main() -> None:
     seconds: dict[str, float] = {}
 
     frames = {name: work.source(name) for name in work.contract.datasets}
+    from_files = Lakehouse(spark, root=run_folder(spark))
+    paths = {name: f"{from_files.root}/extracts/{name}" for name in frames}
+    for name, frame in frames.items():
+        write_extract(frame, paths[name])
+    seconds["stage_land_extracts"] = timed(lambda: pipeline.land_extracts(from_files, paths))
     seconds["stage_land"] = timed(
         lambda: pipeline.land_frames(work.lake, frames, SF_DIR, batch_id=ws.BATCH)
     )

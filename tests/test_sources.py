@@ -276,3 +276,23 @@ def test_ragged_extracts_do_not_land(spark, lake, files, tmp_path, line):
     write(tmp_path / "gl", "ragged.csv", header + "\n" + ",".join(cells) + "\n")
     with pytest.raises(ControlFailure, match="landing gl: 1 lines"):
         pipeline.land_extracts(lake, files)
+
+
+@pytest.mark.parametrize("place", ["folder", "catalog"])
+def test_failing_controls_leave_the_tables_as_they_were(spark, tmp_path, files, place):
+    if place == "folder":
+        lake = Lakehouse(spark, root=str(tmp_path / "lake"))
+    else:
+        lake = Lakehouse(spark, catalog="spark_catalog")
+    pipeline.land_extracts(lake, files, batch_id="good")
+    pipeline.refine(lake)
+    if place == "folder":
+        assert not list((tmp_path / "lake" / "_work").iterdir())
+    before = lake.read("silver", DEFAULT.datasets["gl"].table).count()
+    header = ",".join(schemas.GL_SOURCE.fieldNames())
+    write(tmp_path / "gl", "ragged.csv", header + "\n1,2\n")
+    with pytest.raises(ControlFailure):
+        pipeline.land_extracts(lake, {"gl": files["gl"]}, batch_id="bad")
+    bronze = lake.read("bronze", DEFAULT.datasets["gl"].table)
+    assert {r["_batch_id"] for r in bronze.select("_batch_id").distinct().collect()} == {"good"}
+    assert lake.read("silver", DEFAULT.datasets["gl"].table).count() == before > 0

@@ -1,5 +1,7 @@
 """The jobs: land, refine, publish, score. Each reads and writes whole tables.
 
+Tables are replaced only after the controls of a job held.
+
 Counts that decide whether a job succeeded are read back from storage.
 """
 
@@ -40,33 +42,34 @@ def land_extracts(
     contract.validate()
     batch_id = batch_id or uuid.uuid4().hex
     lake.create_layers()
-
-    def land(dataset: str, path: str) -> None:
-        source = schemas.SOURCES[dataset]
-        extract = read_extract(lake.spark, path, source, dataset, multi_line, escape)
-        malformed = Observation(f"{dataset}-malformed-lines")
-        counted = extract.observe(malformed, F.count_if(F.col(MALFORMED).isNotNull()).alias("lines"))
-        landed = lake.write(
-            to_bronze(with_lineage(counted, batch_id), dataset),
-            "bronze",
-            contract.datasets[dataset].table,
-        )
-        if malformed.get["lines"]:
-            raise ControlFailure(
-                f"landing {dataset}: {malformed.get['lines']} lines have too few or too many cells"
-            )
-        if not multi_line:
-            counted = completeness(lake.spark, path, landed, dataset)
-            require(
-                counted.select(
-                    F.concat(F.lit("rows of "), "dataset").alias("control"),
-                    F.col("source_rows").alias("expected"),
-                    F.col("bronze_rows").alias("actual"),
-                ),
-                "landing",
+    with lake.staged() as stage:
+
+        def land(dataset: str, path: str) -> None:
+            source = schemas.SOURCES[dataset]
+            extract = read_extract(stage.spark, path, source, dataset, multi_line, escape)
+            malformed = Observation(f"{dataset}-malformed-lines")
+            counted = extract.observe(malformed, F.count_if(F.col(MALFORMED).isNotNull()).alias("lines"))
+            landed = stage.write(
+                to_bronze(with_lineage(counted, batch_id), dataset),
+                "bronze",
+                contract.datasets[dataset].table,
             )
-
-    together(*[partial(land, dataset, path) for dataset, path in paths.items()])
+            if malformed.get["lines"]:
+                raise ControlFailure(
+                    f"landing {dataset}: {malformed.get['lines']} lines have too few or too many cells"
+                )
+            if not multi_line:
+                counted = completeness(stage.spark, path, landed, dataset)
+                require(
+                    counted.select(
+                        F.concat(F.lit("rows of "), "dataset").alias("control"),
+                        F.col("source_rows").alias("expected"),
+                        F.col("bronze_rows").alias("actual"),
+                    ),
+                    "landing",
+                )
+
+        together(*[partial(land, dataset, path) for dataset, path in paths.items()])
     return batch_id
 
 
@@ -81,12 +84,13 @@ def land_frames(
     contract.validate()
     batch_id = batch_id or uuid.uuid4().hex
     lake.create_layers()
+    with lake.staged() as stage:
 
-    def land(dataset: str, frame: DataFrame) -> None:
-        landed = with_lineage(frame, batch_id, source)
-        lake.write(to_bronze(landed, dataset), "bronze", contract.datasets[dataset].table)
+        def land(dataset: str, frame: DataFrame) -> None:
+            landed = with_lineage(frame, batch_id, source)
+            stage.write(to_bronze(landed, dataset), "bronze", contract.datasets[dataset].table)
 
-    together(*[partial(land, dataset, frame) for dataset, frame in frames.items()])
+        together(*[partial(land, dataset, frame) for dataset, frame in frames.items()])
     return batch_id
 
 
@@ -100,31 +104,32 @@ def refine(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     """
     contract.validate()
     lake.create_layers()
-
-    def split(name: str) -> None:
-        dataset, source = contract.datasets[name], schemas.SOURCES[name]
-        checked = annotate(lake.read("bronze", dataset.table), dataset.rules, lake.scratch())
-        silver = schemas.silver(source)
-        lost = Observation(f"{name}-values-lost")
-        counted = with_types(clean(checked), silver).observe(lost, *losses(silver))
-        reasons = to_quarantine(rejected(checked), name, schemas.quarantine(source))
-        together(
-            lambda: lake.write(counted, "silver", dataset.table),
-            lambda: lake.write(reasons, "quarantine", dataset.table),
+    with lake.staged() as stage:
+
+        def split(name: str) -> None:
+            dataset, source = contract.datasets[name], schemas.SOURCES[name]
+            checked = annotate(stage.read("bronze", dataset.table), dataset.rules, stage.scratch())
+            silver = schemas.silver(source)
+            lost = Observation(f"{name}-values-lost")
+            counted = with_types(clean(checked), silver).observe(lost, *losses(silver))
+            reasons = to_quarantine(rejected(checked), name, schemas.quarantine(source))
+            together(
+                lambda: stage.write(counted, "silver", dataset.table),
+                lambda: stage.write(reasons, "quarantine", dataset.table),
+            )
+            if any(lost.get.values()):
+                raise ControlFailure(f"typing {name} lost values: {lost.get}")
+
+        together(*[partial(split, name) for name in contract.datasets])
+        layers = [tables(stage, layer, contract) for layer in ("bronze", "silver", "quarantine")]
+        require(
+            conservation(*layers).select(
+                F.concat(F.lit("rows of "), "dataset").alias("control"),
+                F.col("bronze_rows").alias("expected"),
+                F.expr("silver_rows + quarantine_rows").alias("actual"),
+            ),
+            "row conservation",
         )
-        if any(lost.get.values()):
-            raise ControlFailure(f"typing {name} lost values: {lost.get}")
-
-    together(*[partial(split, name) for name in contract.datasets])
-    layers = [tables(lake, layer, contract) for layer in ("bronze", "silver", "quarantine")]
-    require(
-        conservation(*layers).select(
-            F.concat(F.lit("rows of "), "dataset").alias("control"),
-            F.col("bronze_rows").alias("expected"),
-            F.expr("silver_rows + quarantine_rows").alias("actual"),
-        ),
-        "row conservation",
-    )
 
 
 def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
@@ -135,53 +140,55 @@ def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     """
     contract.validate()
     lake.create_layers()
-    silver = tables(lake, "silver", contract)
-    recon = reconcile(
-        silver["gl"],
-        silver["ap"],
-        contract.business_key,
-        contract.tolerance,
-        contract.precedence,
-        contract.checks_periods,
-    )
-    # Rebalanced, or every task would write a file per status.
-    detail = lake.write(
-        gold.detail(recon).hint("rebalance", "break_status"),
-        "gold",
-        "recon_detail",
-        partition_by=["break_status"],
-    )
-
-    def rank() -> DataFrame:
-        ranked = gold.exceptions(detail, silver["gl"], silver["ap"], lake.scratch())
-        return lake.write(ranked, "gold", "recon_exceptions")
-
-    _, summary, exceptions = together(
-        lambda: require(
-            recon_controls(detail, contract.business_key, contract.tolerance), "reconciliation"
-        ),
-        lambda: lake.write(gold.summary(detail), "gold", "recon_summary"),
-        rank,
-    )
-    require(gold.gold_controls(detail, summary, exceptions), "gold")
+    with lake.staged() as stage:
+        silver = tables(stage, "silver", contract)
+        recon = reconcile(
+            silver["gl"],
+            silver["ap"],
+            contract.business_key,
+            contract.tolerance,
+            contract.precedence,
+            contract.checks_periods,
+        )
+        # Rebalanced, or every task would write a file per status.
+        detail = stage.write(
+            gold.detail(recon).hint("rebalance", "break_status"),
+            "gold",
+            "recon_detail",
+            partition_by=["break_status"],
+        )
+
+        def rank() -> DataFrame:
+            ranked = gold.exceptions(detail, silver["gl"], silver["ap"], stage.scratch())
+            return stage.write(ranked, "gold", "recon_exceptions")
+
+        _, summary, exceptions = together(
+            lambda: require(
+                recon_controls(detail, contract.business_key, contract.tolerance), "reconciliation"
+            ),
+            lambda: stage.write(gold.summary(detail), "gold", "recon_summary"),
+            rank,
+        )
+        require(gold.gold_controls(detail, summary, exceptions), "gold")
 
 
 def score(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     """Stored counts and recorded reasons to the two scorecards."""
     contract.validate()
     lake.create_layers()
-    bronze, silver, quarantine = (
-        tables(lake, layer, contract) for layer in ("bronze", "silver", "quarantine")
-    )
-    rules = scorecard.rule_scorecard(
-        scorecard.rule_catalogue(lake.spark, contract), scorecard.rule_violations(quarantine)
-    )
-    per_dataset = scorecard.scorecard(contract, bronze, silver, quarantine)
-    stored, _ = together(
-        lambda: lake.write(per_dataset, "gold", "dq_scorecard"),
-        lambda: lake.write(rules, "gold", "dq_rule_scorecard"),
-    )
-    require(scorecard.conservation_control(stored), "scorecard")
+    with lake.staged() as stage:
+        bronze, silver, quarantine = (
+            tables(stage, layer, contract) for layer in ("bronze", "silver", "quarantine")
+        )
+        rules = scorecard.rule_scorecard(
+            scorecard.rule_catalogue(stage.spark, contract), scorecard.rule_violations(quarantine)
+        )
+        per_dataset = scorecard.scorecard(contract, bronze, silver, quarantine)
+        stored, _ = together(
+            lambda: stage.write(per_dataset, "gold", "dq_scorecard"),
+            lambda: stage.write(rules, "gold", "dq_rule_scorecard"),
+        )
+        require(scorecard.conservation_control(stored), "scorecard")
 
 
 def run(lake: Lakehouse, paths: Mapping[str, str], contract: Contract = DEFAULT) -> None:

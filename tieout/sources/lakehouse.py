@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,11 +70,89 @@ class Lakehouse:
             self.read(layer, table).createOrReplaceTempView(f"{layer}_{table}")
 
     def scratch(self) -> "Scratch":
+        return Scratch(self.spark, f"{self.work_folder()}/scratch-{uuid.uuid4().hex}")
+
+    def work_folder(self) -> str:
         if self.work is not None:
-            return Scratch(self.spark, self.work)
+            return self.work
         if self.root is not None:
-            return Scratch(self.spark, f"{self.root.rstrip('/')}/_work")
-        return Scratch(self.spark, run_folder(self.spark))
+            return f"{self.root.rstrip('/')}/_work"
+        return run_folder(self.spark)
+
+    @contextmanager
+    def staged(self) -> Iterator["Staged"]:
+        """Tables written inside replace the stored ones at the end, if nothing raised.
+
+        Intermediate tables are removed then. After a failure everything is left
+        for inspection, and the stored tables are as they were.
+        """
+        run = f"run_{uuid.uuid4().hex}"
+        stage = Staged(
+            self.spark, self.root, self.catalog, f"{self.work_folder()}/{run}", self, run
+        )
+        yield stage
+        for (layer, table), partition_by in stage.written.items():
+            self.replace(stage, layer, table, partition_by)
+        remove(self.spark, stage.work)
+
+    def replace(
+        self, stage: "Staged", layer: str, table: str, partition_by: Sequence[str]
+    ) -> None:
+        """Put a staged table in the place of the stored one.
+
+        Folders are renamed, the old one going last. Catalog tables are written
+        again, since not every catalog renames the partitions of a table.
+        """
+        target, staged = self.target(layer, table), stage.target(layer, table)
+        if self.catalog is not None:
+            self.write(stage.read(layer, table), layer, table, partition_by)
+            self.spark.sql(f"DROP TABLE {staged}")
+        else:
+            before = f"{staged}-replaced"
+            move(self.spark, target, before)
+            move(self.spark, staged, target)
+            remove(self.spark, before)
+
+
+@dataclass(frozen=True)
+class Staged(Lakehouse):
+    """A lakehouse whose writes are not seen outside yet; it reads its own first."""
+
+    stored: Lakehouse | None = None
+    run: str = ""
+    written: dict[tuple[str, str], Sequence[str]] = field(default_factory=dict)
+
+    def target(self, layer: str, table: str) -> str:
+        if (layer, table) not in self.written:
+            return self.stored.target(layer, table)
+        if self.catalog is not None:
+            return f"{self.catalog}.{layer}.{table}__{self.run}"
+        return f"{self.work}/{layer}/{table}"
+
+    def write(
+        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
+    ) -> DataFrame:
+        self.written[layer, table] = partition_by
+        return super().write(df, layer, table, partition_by)
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, for moving and removing folders."""
+    of = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return of, of.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    (here, files), (there, _) = _path(spark, source), _path(spark, target)
+    if files.exists(here):
+        files.mkdirs(there.getParent())
+        if not files.rename(here, there):
+            raise OSError(f"cannot move {source} to {target}")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path, files = _path(spark, folder)
+    files.delete(path, True)
 
 
 @dataclass(frozen=True)
