@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from conftest import SF
 from tieout.contract import STATUSES
 from tieout.operators import controls, refine
 from tieout.plans import pipeline
+from tieout.plans.expectations import expected_metrics
 from tieout.sources import fixtures
 from tieout.sources.lakehouse import Lakehouse
 
@@ -27,7 +30,7 @@ def checks(spark, root, change=lambda frames: None):
         lake.read("gold", "recon_detail"),
         refine.rejections(pipeline.tables(lake, "quarantine")),
     )
-    return controls.expected_metrics(fixtures.invoices(spark, SF)), observed
+    return expected_metrics(fixtures.invoices(spark, SF)), observed
 
 
 def failed(expected, observed):
@@ -41,7 +44,7 @@ def healthy(spark, tmp_path_factory):
 
 
 def test_healthy(healthy):
-    assert controls.compare(*healthy).count() == 56
+    assert controls.compare(*healthy).count() == 61
     assert failed(*healthy) == set()
 
 
@@ -119,3 +122,43 @@ def test_fates_land_in_their_status(spark, tmp_path):
     assert by_fate[41] == {"REJECTED"}
     assert by_fate[53] == {"DUPLICATE_IN_SUBLEDGER"}
     assert set.union(*by_fate.values()) == set(STATUSES) | {"REJECTED"}
+
+
+def manifest_of(expected):
+    """The nested manifest that states these metrics."""
+    value = {r.metric: float(r.expected) for r in expected.collect()}
+    nested = {"expected_quarantine": {"by_rule": {"gl": {}, "ap": {}}}, "expected_breaks": {}}
+    for metric, at in controls.MANIFEST.items():
+        *parents, name = at.split(".")
+        place = nested
+        for parent in parents:
+            place = place.setdefault(parent, {})
+        place[name] = value[metric]
+    for metric, v in value.items():
+        kind, _, name = metric.partition(" ")
+        if kind == "rule" and v:
+            nested["expected_quarantine"]["by_rule"][name[:2].lower()][name] = v
+        if kind == "break":
+            nested["expected_breaks"][name] = v
+    return nested
+
+
+def test_manifest_states_the_expectation(spark, healthy, tmp_path):
+    expected, observed = healthy
+    nested = manifest_of(expected)
+
+    def stored():
+        path = tmp_path / "manifest.json"
+        path.write_text(json.dumps(nested, indent=1))
+        return controls.manifest_metrics(spark, str(path))
+
+    assert controls.compare(stored(), observed).count() == 61
+    assert failed(stored(), observed) == set()
+    nested["expected_breaks"]["MATCHED"] += 1
+    nested["expected_quarantine"]["by_rule"]["ap"].pop("AP_NN_AMOUNT")
+    del nested["expected_key_total"]
+    assert failed(stored(), observed) == {
+        "break MATCHED", "rule AP_NN_AMOUNT", "business keys", "keys with a known status"
+    }
+    with pytest.raises(controls.ControlFailure, match="load: 4 failed"):
+        controls.require(controls.compare(stored(), observed), "load")

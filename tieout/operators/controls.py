@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tieout.contract import DEFAULT, MATCHED, STATUSES, Contract
+from tieout.contract import DEFAULT, STATUSES, Contract
 from tieout.functions.scores import dq_score
-from tieout.sources import fixtures as fx
+from tieout.operators.reconcile import edge_cases
 
 VALUE = "decimal(24,4)"
 
@@ -49,95 +51,59 @@ def melt(row: DataFrame, metrics: dict[str, Column], value: str) -> DataFrame:
     return row.select(F.inline(F.array(*pairs)))
 
 
-def expected_metrics(invoices: DataFrame, contract: Contract = DEFAULT) -> DataFrame:
-    """What the fixture plants, from the fates alone: no ledger row is read.
-
-    `invoices` is `fixtures.invoices`. One pass of conditional counts.
+# Where a control manifest keeps the expectation of a metric. The rest of its
+# metrics are named by its own fields: rules, statuses.
+MANIFEST = {
+    "gl raw rows": "row_counts.gl_raw",
+    "ap raw rows": "row_counts.ap_raw",
+    "gl rows quarantined": "expected_quarantine.gl_rows",
+    "ap rows quarantined": "expected_quarantine.ap_rows",
+    "total rows quarantined": "expected_quarantine.total_rows",
+    "total rule violations": "expected_quarantine.total_violations",
+    "gl rows in silver": "row_counts.gl_after_quarantine",
+    "ap rows in silver": "row_counts.ap_after_quarantine",
+    "business keys": "expected_key_total",
+    "keys with a known status": "expected_key_total",
+    "dq score": "expected_dq_score_pct",
+    "edge matched_within_tolerance": "expected_edge_cases.matched_within_tolerance",
+    "edge mismatch_with_period_shift": "expected_edge_cases.amount_mismatch_with_period_shift",
+    "edge duplicate_triplets": "expected_edge_cases.duplicate_triplets",
+    "edge duplicate_unequal_amounts": "expected_edge_cases.duplicate_with_unequal_amounts",
+}
+NEVER = ("unknown statuses", "quarantined rows without a rule", "edge matched_beyond_tolerance")
+
+
+def manifest_metrics(spark: SparkSession, path: str, contract: Contract = DEFAULT) -> DataFrame:
+    """(metric, expected) of a load, from the JSON manifest delivered with it.
+
+    A rule or status that the manifest does not list is expected never to occur.
+    A total that it does not have is not expected, so its metric fails.
     """
-    f, gl_defect, ap_defect = F.col("f"), F.col("g") % 7, F.col("g") % 10
-
-    def fate(*values: int) -> Column:
-        return f.isin(*values)
-
-    planted = {
-        "orders": F.lit(True),
-        "gl_absent": fate(*fx.GL_ABSENT),
-        "gl_split": fate(fx.GL_SPLIT),
-        "ap_absent": fate(*fx.AP_ABSENT),
-        "ap_pairs": fate(*fx.AP_PAIRS),
-        "ap_triplets": fate(*fx.AP_TRIPLETS),
-        "gl_bad": fate(fx.GL_DEFECTIVE) & gl_defect.between(0, 5),
-        "gl_good": fate(fx.GL_DEFECTIVE) & (gl_defect == 6),
-        **{f"gl_{i}": fate(fx.GL_DEFECTIVE) & (gl_defect == i) for i in range(6)},
-        "ap_bad": fate(fx.AP_DEFECTIVE),
-        **{f"ap_{i}": fate(fx.AP_DEFECTIVE) & (ap_defect == i) for i in range(8)},
-        "ap_shared_id": fate(fx.AP_DEFECTIVE) & ap_defect.isin(8, 9),
-        "mismatch": fate(8, 10, 11, 12),
-        "timing": fate(20, 21),
-        "gl_only": fate(30, 32),
-        "ap_only": fate(40, 42),
-        "duplicate": fate(50, 51, 52, 53),
-    }
-    n = invoices.agg(*[F.count_if(c).alias(m) for m, c in planted.items()])
-    c = {m: F.col(m) for m in planted}
-    # The shared line id repeats only when at least two rows carry it.
-    shared = F.when(c["ap_shared_id"] > 1, c["ap_shared_id"]).otherwise(0)
-    unshared = c["ap_shared_id"] - shared
-
-    gl_rows = c["orders"] - c["gl_absent"] + c["gl_split"]
-    ap_rows = c["orders"] - c["ap_absent"] + c["ap_pairs"] + 2 * c["ap_triplets"]
-    gl_out, ap_out = c["gl_bad"], c["ap_bad"] - unshared
-    breaks = {
-        "AMOUNT_MISMATCH": c["mismatch"],
-        "TIMING_DIFFERENCE": c["timing"],
-        "MISSING_FROM_SUBLEDGER": c["gl_only"] + c["gl_good"],
-        "MISSING_FROM_GL": c["ap_only"] + unshared,
-        "DUPLICATE_IN_SUBLEDGER": c["duplicate"],
-    }
-    # Every order is one key, less those whose only row is rejected.
-    keys = c["orders"] - gl_out - ap_out
-    matched = keys - sum(breaks.values(), F.lit(0))
-    by_rule = {
-        "GL_NN_AMOUNT": c["gl_0"] + c["gl_5"],
-        "GL_NONZERO_AMOUNT": c["gl_1"],
-        "GL_FMT_FISCAL_PERIOD": c["gl_2"],
-        "GL_DOM_ACCOUNT_CODE": c["gl_3"],
-        "GL_FMT_DEPARTMENT_CODE": c["gl_4"],
-        "GL_DOM_DEPARTMENT_CODE": c["gl_4"],
-        "GL_DOM_CURRENCY": c["gl_5"],
-        "AP_NN_AMOUNT": c["ap_0"],
-        "AP_NONZERO_AMOUNT": c["ap_1"],
-        "AP_NUM_AMOUNT": c["ap_2"],
-        "AP_DOM_CURRENCY": c["ap_3"],
-        "AP_FMT_VENDOR_CODE": c["ap_4"],
-        "AP_FMT_FISCAL_PERIOD": c["ap_5"],
-        "AP_RANGE_AMOUNT": c["ap_6"],
-        "AP_DOM_PAYMENT_STATUS": c["ap_7"],
-        "AP_UNIQ_LINE_ID": shared,
-    }
-    passed = gl_rows - gl_out + ap_rows - ap_out
+    manifest = spark.read.option("multiLine", True).json(path)
+
+    def fields(*parents: str) -> set[str]:
+        schema = manifest.schema
+        for parent in parents:
+            if parent not in schema.fieldNames():
+                return set()
+            schema = schema[parent].dataType
+        return set(schema.fieldNames())
+
+    def listed(name: str, *parents: str) -> Column:
+        return F.col(".".join([*parents, name])) if name in fields(*parents) else F.lit(0)
+
+    totals = {m: at.split(".") for m, at in MANIFEST.items()}
     metrics = {
-        "gl raw rows": gl_rows,
-        "ap raw rows": ap_rows,
-        "gl rows quarantined": gl_out,
-        "ap rows quarantined": ap_out,
-        "total rows quarantined": gl_out + ap_out,
-        "total rule violations": sum(by_rule.values(), F.lit(0)),
-        "gl rows in silver": gl_rows - gl_out,
-        "ap rows in silver": ap_rows - ap_out,
+        **{m: F.col(".".join(at)) for m, at in totals.items() if at[-1] in fields(*at[:-1])},
         **{
-            f"rule {r.id}": by_rule.get(r.id, F.lit(0))
-            for d in contract.datasets.values()
+            f"rule {r.id}": listed(r.id, "expected_quarantine", "by_rule", name)
+            for name, d in contract.datasets.items()
             for r in d.active_rules
         },
-        **{f"break {s}": matched if s == MATCHED else breaks[s] for s in STATUSES},
-        "business keys": keys,
-        "keys with a known status": keys,
-        "unknown statuses": F.lit(0),
-        "quarantined rows without a rule": F.lit(0),
-        "dq score": dq_score(passed, gl_rows + ap_rows),
+        **{f"break {s}": listed(s, "expected_breaks") for s in STATUSES},
+        **{m: F.lit(0) for m in NEVER},
     }
-    return melt(n, metrics, "expected")
+    return melt(manifest, metrics, "expected")
 
 
 def observed_metrics(
@@ -199,7 +165,10 @@ def observed_metrics(
         {"quarantined rows without a rule": F.col("n")},
         "actual",
     )
-    return metrics.unionByName(per_rule).unionByName(per_status).unionByName(unexplained)
+    found = edge_cases(detail)
+    edges = melt(found, {f"edge {c}": F.col(c) for c in found.columns}, "actual")
+    parts = (per_rule, per_status, unexplained, edges)
+    return reduce(DataFrame.unionByName, parts, metrics)
 
 
 def fate_vs_status(invoices: DataFrame, detail: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from tieout import schemas
 from tieout.contract import BUSINESS_KEY, CHECKS
 from tieout.operators import annotate as contract_checks
 from tieout.operators import controls, gold, reconcile, refine, reports, scorecard
+from tieout.plans.expectations import expected_metrics
 from tieout.plans.workspace import BATCH, Workspace, workspace
 from tieout.session import run_folder, together
 from tieout.sources import extracts
@@ -460,7 +461,7 @@ def _checks(w: Workspace) -> DataFrame:
         w.gold("recon_detail"),
         refine.rejections(w.every("quarantine")),
     )
-    return controls.compare(controls.expected_metrics(w.invoices(), w.contract), observed)
+    return controls.compare(expected_metrics(w.invoices(), w.contract), observed)
 
 
 @query("control_checks")

@@ -376,6 +376,11 @@ _EXPECTED = {
     "business keys": f"count(*) - {_GL_OUT} - {_AP_OUT}",
     "keys with a known status": f"count(*) - {_GL_OUT} - {_AP_OUT}",
     "unknown statuses": "0",
+    "edge matched_within_tolerance": "count(*) FILTER (f BETWEEN 1 AND 7)",
+    "edge mismatch_with_period_shift": "count(*) FILTER (f = 10)",
+    "edge duplicate_triplets": "count(*) FILTER (f = 51)",
+    "edge duplicate_unequal_amounts": "count(*) FILTER (f = 52)",
+    "edge matched_beyond_tolerance": "0",
     "quarantined rows without a rule": "0",
     "dq score": f"round(100.0::DOUBLE * ({_GL_IN} - {_GL_OUT} + {_AP_IN} - {_AP_OUT})"
     f" / ({_GL_IN} + {_AP_IN}), 4)",
@@ -398,6 +403,16 @@ _ACTUAL = {
     "keys with a known status": "SELECT count(*) FROM recon SEMI JOIN statuses USING (break_status)",
     "unknown statuses": "SELECT count(*) FROM recon ANTI JOIN statuses USING (break_status)",
     "quarantined rows without a rule": "SELECT count(*) FROM q WHERE _failed_rule_ids = ''",
+    "edge matched_within_tolerance": "SELECT count(*) FROM recon"
+    " WHERE break_status = 'MATCHED' AND abs_amount_difference > 0",
+    "edge mismatch_with_period_shift": "SELECT count(*) FROM recon"
+    " WHERE break_status = 'AMOUNT_MISMATCH' AND gl_fiscal_period <> ap_fiscal_period",
+    "edge duplicate_triplets": "SELECT count(*) FROM recon"
+    " WHERE break_status = 'DUPLICATE_IN_SUBLEDGER' AND ap_row_count = 3",
+    "edge duplicate_unequal_amounts": "SELECT count(*) FROM recon"
+    " WHERE break_status = 'DUPLICATE_IN_SUBLEDGER' AND ap_amount <> gl_amount * ap_row_count",
+    "edge matched_beyond_tolerance": "SELECT count(*) FROM recon"
+    " WHERE break_status = 'MATCHED' AND abs_amount_difference > 1",
     "dq score": f"SELECT {_SCORE} FROM score",
 }
 
