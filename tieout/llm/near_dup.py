@@ -14,8 +14,9 @@ Equal texts are one node of the graph. Pairs are not enumerated in a bucket:
 
 1. Every node is compared with the least node of one of its buckets.
 2. Where the least node of another of its buckets is in another class, with that.
-3. What then is still in another class than the least node of its bucket is
-   compared with all members of the bucket in other classes than its own.
+3. Buckets whose members then are still of several classes are gone through in
+   chunks: every two chunks of a bucket meet in one group, which compares their
+   texts by products of matrices and returns only links that join classes.
 
 After that every pair of different texts that shares a bucket is verified or in
 one class already, so classes are the components of all verified links. Buckets
@@ -38,13 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tieout.llm import shingles as sh
-from tieout.llm.common import one_row, scratch_of, table
+from tieout.llm.common import scratch_of, table
 from tieout.llm.components import components
 from tieout.sources.lakehouse import Scratch
 
 BANDS = 24
 ROWS = 5
 THRESHOLD = 0.8
+ROUNDING = 1e-9  # of sums that are the threshold exactly
+CHUNK = 1024
+COLUMNS_AT_ONCE = 4096
 U = np.uint64
 
 # --- signatures -----------------------------------------------------------------------
@@ -115,19 +119,22 @@ def banded(texts: pa.Array, bands: int, rows: int) -> pa.Array:
 # --- verification ---------------------------------------------------------------------
 
 
+def shingle_sets(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per text its shingles, sorted, and their weights."""
+    data, offsets = raw(texts)
+    found = []
+    for begin, end in sh.batches(offsets):
+        at = offsets[begin : end + 1]
+        text, element, weight = sh.weighted_shingles(data[at[0] : at[-1]], at - at[0])
+        cut = np.searchsorted(text, np.arange(end - begin + 1))
+        found += [(element[s:e], weight[s:e]) for s, e in zip(cut, cut[1:])]
+    return found
+
+
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
     """Probability Jaccard of each pair of texts."""
-    sets = []
-    for texts in (left, right):
-        data, offsets = raw(texts)
-        found = []
-        for begin, end in sh.batches(offsets):
-            at = offsets[begin : end + 1]
-            text, element, weight = sh.weighted_shingles(data[at[0] : at[-1]], at - at[0])
-            cut = np.searchsorted(text, np.arange(end - begin + 1))
-            found += [(element[s:e], weight[s:e]) for s, e in zip(cut, cut[1:])]
-        sets.append(found)
-    return np.array([sh.probability_jaccard(*a, *b) for a, b in zip(*sets)])
+    sets = zip(shingle_sets(left), shingle_sets(right))
+    return np.array([sh.probability_jaccard(*a, *b) for a, b in sets])
 
 
 def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -138,7 +145,7 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             # Long texts make large batches; a few pairs at a time are enough.
             for at in range(0, len(batch), 256):
                 a, b, left, right = batch.slice(at, 256).columns
-                close = similarities(left, right) >= threshold
+                close = similarities(left, right) >= threshold - ROUNDING
                 yield pa.RecordBatch.from_arrays(
                     [a.filter(pa.array(close)), b.filter(pa.array(close))], ["a", "b"]
                 )
@@ -149,6 +156,94 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(verify, "a bigint, b bigint")
 
 
+def links_between(texts: pa.Array, roots: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links (i, j) that join the classes of some texts, as few as do so.
+
+    The similarity of i and j is at most the share of i's weight on shingles that
+    j has, and the other way round. Products of matrices give these shares, and,
+    where no shingle occurs twice in a text, the similarity itself.
+    """
+    sets = shingle_sets(texts)
+    n = len(sets)
+    sizes = np.array([len(e) for e, _ in sets])
+    text = np.repeat(np.arange(n), sizes)
+    element = np.concatenate([e for e, _ in sets])
+    share = np.concatenate([w / w.sum() if len(w) else w for _, w in sets])
+    single = np.array([(w == 1).all() for _, w in sets])
+    _, column, times = np.unique(element, return_inverse=True, return_counts=True)
+    # A shingle of one text alone is in no intersection.
+    common = np.flatnonzero(times[column] > 1)
+    order = common[np.argsort(column[common], kind="stable")]
+    _, place = np.unique(column[order], return_inverse=True)
+    both, covered = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)
+    for first in range(0, int(place.max(initial=-1)) + 1, COLUMNS_AT_ONCE):
+        part = slice(*np.searchsorted(place, [first, first + COLUMNS_AT_ONCE]))
+        has = np.zeros((n, COLUMNS_AT_ONCE), np.float32)
+        has[text[order[part]], place[part] - first] = 1
+        both += has @ has.T
+        weight = np.zeros_like(has)
+        weight[text[order[part]], place[part] - first] = share[order[part]]
+        covered += weight @ has.T
+    i, j = np.nonzero(np.minimum(covered, covered.T) >= threshold - 1e-3)
+    apart = (i < j) & (roots[i] != roots[j])
+    i, j = i[apart], j[apart]
+    sure = both[i, j] / (sizes[i] + sizes[j] - both[i, j]) >= threshold - ROUNDING
+    plain = single[i] & single[j]
+    parent = {r: r for r in roots.tolist()}
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for x, y, exact, close in zip(i.tolist(), j.tolist(), plain.tolist(), sure.tolist()):
+        a, b = top(int(roots[x])), top(int(roots[y]))
+        if a != b and (
+            close
+            if exact
+            else sh.probability_jaccard(*sets[x], *sets[y]) >= threshold - ROUNDING
+        ):
+            parent[max(a, b)] = min(a, b)
+            out.append((x, y))
+    return out
+
+
+def linked_inside(inside: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between classes of (bucket, node, root), all pairs of a bucket considered.
+
+    Members are dealt to chunks by hash, and every two chunks of a bucket meet in
+    one group of at most about two chunks, so no group holds a whole bucket. Pairs
+    are compared inside the group; only links that join classes leave it.
+    """
+    sizes = inside.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    dealt = (
+        inside.join(sizes, "bucket")
+        .withColumn("chunk", chunk)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+        .select(
+            "bucket",
+            F.least("chunk", "other").alias("i"),
+            F.greatest("chunk", "other").alias("j"),
+            "node",
+            "root",
+        )
+        .join(texts, "node")
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("node")
+        nodes = group["node"].to_numpy()
+        roots = group["root"].to_numpy()
+        found = links_between(group["text"].combine_chunks(), roots, threshold)
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": nodes[b], "b": nodes[a]})
+
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
 # --- on Spark -------------------------------------------------------------------------
 
 
@@ -193,25 +288,15 @@ def links(members: DataFrame, texts: DataFrame, threshold: float, scratch: Scrat
         edges = scratch.keep(linked(more, texts, threshold), "linked")
         roots = components(stars().unionByName(edges), scratch)
 
-    # Step 3: members that are still apart from the center of a bucket, with all the others.
+    # Step 3: buckets whose members are still of several classes.
     known = with_roots(members, roots)
-    apart = scratch.keep(known.where("root <> center_root"), "apart")
-    if apart.isEmpty():
-        return roots
-    unsettled = apart.select("bucket").distinct()
-    inside = known.join(unsettled, "bucket").select(
-        "bucket", F.col("node").alias("other"), F.col("root").alias("other_root")
+    unsettled = scratch.keep(
+        known.where("root <> center_root").select("bucket").distinct(), "unsettled"
     )
-    pairs = (
-        apart.select("bucket", "node", "root")
-        .join(inside, "bucket")
-        .where("root <> other_root")
-        .select(*ordered("node", "other"))
-        .distinct()
-        .join(compared, ["a", "b"], "left_anti")
-    )
-    pairs = scratch.keep(pairs, "compared")
-    edges = scratch.keep(linked(pairs, texts, threshold), "linked")
+    if unsettled.isEmpty():
+        return roots
+    inside = scratch.keep(known.join(unsettled, "bucket").select("bucket", "node", "root"), "inside")
+    edges = scratch.keep(linked_inside(inside, texts, threshold), "linked")
     return components(stars().unionByName(edges), scratch)
 
 
