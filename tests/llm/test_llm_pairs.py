@@ -154,6 +154,28 @@ def test_a_link_that_misses_the_center_is_found(spark, scratch):
     assert {r["node"]: r["root"] for r in roots} == {1: 0, 2: 0, 3: 0, 4: 0}
 
 
+@pytest.mark.parametrize("chunk", [7, 1024])
+def test_borderline_bucket_in_chunks(spark, scratch, monkeypatch, chunk):
+    """Copies about as similar as the threshold, some with repeated shingles."""
+    monkeypatch.setattr(near_dup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dup, "COLUMNS_AT_ONCE", 64)
+    rng = random.Random(chunk)
+    texts = list(near_copies(rng, 90, 45, 1)) + list(near_copies(rng, 120, 10, 1)) + ["apart " * 9]
+    texts = [t + " " + " ".join(t.split()[:12]) if i % 5 == 0 else t for i, t in enumerate(texts)]
+    sets = [shingle_counts(t) for t in texts]
+    pairs = [
+        (i, j)
+        for i, j in itertools.combinations(range(len(texts)), 2)
+        if slow_similarity(sets[i], sets[j]) >= 0.8 - near_dup.ROUNDING
+    ]
+    members = spark.createDataFrame([(1, i, 0) for i in range(len(texts))], "bucket long, node long, center long")
+    by_node = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "node long, text binary")
+    got = {r["node"]: r["root"] for r in near_dup.links(members, by_node, 0.8, scratch).collect()}
+    wanted = classes_of(range(len(texts)), pairs)
+    assert {i: got.get(i, i) for i in range(len(texts))} == wanted
+    assert 1 < len(set(wanted.values())) < len(texts)
+
+
 def test_all_documents_against_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = queries.QUERIES["op10_near_duplicates"](spark, SF).collect()
