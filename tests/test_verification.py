@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from conftest import SF
 from tieout.contract import STATUSES
 from tieout.operators import controls, refine
+from tieout.operators.uniqueness import attach_copies
 from tieout.plans import pipeline
 from tieout.plans.expectations import expected_metrics
+from tieout.plans.workspace import workspace
 from tieout.sources import fixtures
 from tieout.sources.lakehouse import Lakehouse
 
@@ -162,3 +164,13 @@ def test_manifest_states_the_expectation(spark, healthy, tmp_path):
     }
     with pytest.raises(controls.ControlFailure, match="load: 4 failed"):
         controls.require(controls.compare(stored(), observed), "load")
+
+
+@pytest.mark.parametrize("dataset", ["gl", "ap"])
+def test_published_predicates_count_what_they_claim(spark, scratch, dataset):
+    w = workspace(spark, SF)
+    rules = [r for r in w.gold("dq_rule_scorecard").collect() if r.dataset == dataset]
+    checked = attach_copies(w.bronze(dataset), w.rules(dataset), scratch)
+    counted = checked.agg(*[F.count_if(F.expr(r.predicate_sql)).alias(r.rule_id) for r in rules])
+    assert counted.first().asDict() == {r.rule_id: r.rows_rejected for r in rules}
+    assert len(rules) == len(w.rules(dataset))

@@ -51,8 +51,8 @@ def melt(row: DataFrame, metrics: dict[str, Column], value: str) -> DataFrame:
     return row.select(F.inline(F.array(*pairs)))
 
 
-# Where a control manifest keeps the expectation of a metric. The rest of its
-# metrics are named by its own fields: rules, statuses.
+# Where a control manifest keeps the expectation of a metric. The rest
+# of its metrics are named by its own fields: rules, statuses.
 MANIFEST = {
     "gl raw rows": "row_counts.gl_raw",
     "ap raw rows": "row_counts.ap_raw",
