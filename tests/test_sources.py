@@ -296,3 +296,12 @@ def test_failing_controls_leave_the_tables_as_they_were(spark, tmp_path, files,
     bronze = lake.read("bronze", DEFAULT.datasets["gl"].table)
     assert {r["_batch_id"] for r in bronze.select("_batch_id").distinct().collect()} == {"good"}
     assert lake.read("silver", DEFAULT.datasets["gl"].table).count() == before > 0
+
+
+def test_another_table_format(spark, tmp_path, files):
+    lake = Lakehouse(spark, root=str(tmp_path / "orc-lake"), table_format="orc")
+    pipeline.land_extracts(lake, files)
+    pipeline.refine(lake)
+    folder = tmp_path / "orc-lake" / "silver" / DEFAULT.datasets["gl"].table
+    assert list(folder.glob("*.orc")) and not list(folder.glob("*.parquet"))
+    assert lake.read("silver", DEFAULT.datasets["gl"].table).count() > 0

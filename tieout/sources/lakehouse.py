@@ -18,15 +18,17 @@ LAYERS = ("bronze", "silver", "quarantine", "gold")
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Resolves tables; `root` for Parquet directories, else `catalog`.
+    """Resolves tables; `root` for directories, else `catalog`.
 
     `work` is the folder for intermediate tables. It must be shared storage.
+    `table_format` is any format the session can write and read back.
     """
 
     spark: SparkSession
     root: str | None = None
     catalog: str | None = None
     work: str | None = None
+    table_format: str = "parquet"
 
     def __post_init__(self) -> None:
         if (self.root is None) == (self.catalog is None):
@@ -47,7 +49,7 @@ class Lakehouse:
     ) -> DataFrame:
         """Replace the table and return it as stored."""
         declared = conform(df, schemas.TABLES[layer, table], f"{layer}.{table}")
-        writer = declared.write.mode("overwrite").format("parquet")
+        writer = declared.write.mode("overwrite").format(self.table_format)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if self.catalog is not None:
@@ -61,7 +63,8 @@ class Lakehouse:
         if self.catalog is not None:
             stored = self.spark.table(self.target(layer, table))
         else:
-            stored = self.spark.read.schema(schema).parquet(self.target(layer, table))
+            reader = self.spark.read.format(self.table_format).schema(schema)
+            stored = reader.load(self.target(layer, table))
         return stored.select(*schema.fieldNames())
 
     def register_views(self) -> None:
@@ -88,7 +91,13 @@ class Lakehouse:
         """
         run = f"run_{uuid.uuid4().hex}"
         stage = Staged(
-            self.spark, self.root, self.catalog, f"{self.work_folder()}/{run}", self, run
+            self.spark,
+            self.root,
+            self.catalog,
+            f"{self.work_folder()}/{run}",
+            self.table_format,
+            self,
+            run,
         )
         yield stage
         for (layer, table), partition_by in stage.written.items():
