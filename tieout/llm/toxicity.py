@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from tieout.llm.common import draw, one_row, table
 
-MOST_POSITIVE = 5_000
-MOST_UNLABELLED = 10_000
+MOST_POSITIVE = 4_000
+MOST_UNLABELLED = 8_000
 MOST_FEATURES = 4_096
 CLASSIFIERS = 3
 PRIOR = 0.1
@@ -70,7 +70,13 @@ def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
 # --- training, on the rows of one classifier -----------------------------------------
 
 
-def pick_features(sets: list[set[bytes]], positive: np.ndarray, prior: float, most: int) -> dict:
+def telling_features(texts: list[bytes]) -> dict[bytes, int]:
+    """Numbers of the features that several of the texts have."""
+    counts = Counter(f for t in texts for f in features(t))
+    return {f: i for i, f in enumerate(sorted(f for f, n in counts.items() if n >= LEAST_POSITIVES))}
+
+
+def pick_features(in_pos: np.ndarray, n_pos: int, in_unl: np.ndarray, n_unl: int, prior: float, most: int):
     """Features likelier in toxic than in clean text, the most telling first.
 
     Their frequency in clean text is what is left of the unlabelled frequency
@@ -78,19 +84,17 @@ def pick_features(sets: list[set[bytes]], positive: np.ndarray, prior: float, mo
     likely toxic than not, and must be likelier among positives than chance would
     make one of all features tried, so that rare words of a few texts are not learnt.
     """
-    in_pos = Counter(f for s, p in zip(sets, positive) if p for f in s)
-    telling = {f for f, n in in_pos.items() if n >= LEAST_POSITIVES}
-    in_unl = Counter(f for s, p in zip(sets, positive) if not p for f in s & telling)
-    n_pos, n_unl = positive.sum(), (~positive).sum()
-    scores, by_chance = {}, 2 * np.log(max(len(telling), 2))
-    for f in telling:
-        toxic = in_pos[f] / n_pos
-        clean = max(in_unl[f] / n_unl - prior * toxic, 0.0) / (1 - prior)
-        ratio = (toxic + 0.5 / n_pos) / (clean + 2.0 / n_unl)
-        if ratio > (1 - prior) / prior and likelihood_ratio(in_pos[f], n_pos, in_unl[f], n_unl) > by_chance:
-            scores[f] = in_pos[f] * np.log(ratio)
-    best = sorted(scores, key=lambda f: (-scores[f], f))[:most]
-    return {f: i for i, f in enumerate(best)}
+    toxic = in_pos / n_pos
+    clean = np.maximum(in_unl / n_unl - prior * toxic, 0.0) / (1 - prior)
+    ratio = (toxic + 0.5 / n_pos) / (clean + 2.0 / n_unl)
+    by_chance = 2 * np.log(max(len(in_pos), 2))
+    chosen = [
+        i
+        for i in np.flatnonzero(ratio > (1 - prior) / prior)
+        if likelihood_ratio(in_pos[i], n_pos, in_unl[i], n_unl) > by_chance
+    ]
+    score = in_pos * np.log(ratio)
+    return np.array(sorted(chosen, key=lambda i: (-score[i], i))[:most], dtype=np.int64)
 
 
 def likelihood_ratio(a: int, n: int, b: int, m: int) -> float:
@@ -131,13 +135,20 @@ def train(texts: list[bytes], positive: np.ndarray, prior: float, most: int) ->
     """Weight by feature, the bias under BIAS."""
     if not positive.any() or positive.all():
         return {BIAS: float(np.log(prior / (1 - prior)))}
-    sets = [features(t) for t in texts]
-    number = pick_features(sets, positive, prior, most)
-    found = [[number[f] for f in s & number.keys()] for s in sets]
+    number = telling_features([t for t, p in zip(texts, positive) if p])
+    found = [np.array([number[f] for f in features(t) & number.keys()], np.int64) for t in texts]
     rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    cols = np.array([i for f in found for i in f], dtype=np.int64)
-    w, b = nn_pu(rows, cols, len(found), len(number), positive, prior)
-    return {BIAS: float(b)} | {f: float(w[i]) for f, i in number.items()}
+    cols = np.concatenate(found)
+    in_pos = np.bincount(cols[positive[rows]], minlength=len(number))
+    in_unl = np.bincount(cols[~positive[rows]], minlength=len(number))
+    n_pos = int(positive.sum())
+    best = pick_features(in_pos, n_pos, in_unl, len(texts) - n_pos, prior, most)
+    place = np.full(len(number), -1)
+    place[best] = np.arange(len(best))
+    used = place[cols] >= 0
+    w, b = nn_pu(rows[used], place[cols[used]], len(texts), len(best), positive, prior)
+    names = list(number)
+    return {BIAS: float(b)} | {names[i]: float(v) for i, v in zip(best, w)}
 
 
 # --- on Spark -----------------------------------------------------------------------
@@ -156,7 +167,9 @@ def training_rows(
         .agg(F.max("toxic").alias("toxic"))
     )
     counts = one_row(known.agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("t")))
-    prior = min(max(counts["t"] / counts["n"], 0.001), 0.5) if counts["t"] else PRIOR
+    # Where only positives are labelled, their share says nothing.
+    estimable = 0 < counts["t"] < counts["n"]
+    prior = min(max(counts["t"] / counts["n"], 0.001), 0.5) if estimable else PRIOR
     # At most about most_positive ids: small enough to broadcast, whatever the input.
     toxic = known.where("toxic = 1").where(
         draw(F.lit("positive"), F.col("doc_id")) < most_positive / max(counts["t"], 1)
