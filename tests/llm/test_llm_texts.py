@@ -142,6 +142,24 @@ def test_disguises_lead_back_to_the_source(text, kind, hidden):
     assert all(text[s["start"] : s["end"]] == s["value"] for s in found)
 
 
+@pytest.mark.parametrize(
+    "text, base, whole",
+    [
+        ("j\u043ehn@example.com", "hn@example.com", "j\u043ehn@example.com"),
+        ("jo\u200bhn@example.com", "hn@example.com", "jo\u200bhn@example.com"),
+        ("john@example.c\u043em", "john@example.c", "john@example.c\u043em"),
+    ],
+)
+def test_a_wider_disguised_span_is_added_to_its_base(text, base, whole):
+    found = [(s["value"], s["added"]) for s in pii.spans_of(f"to {text} now")]
+    assert sorted(found) == sorted([(base, False), (whole, True)])
+
+
+def test_a_base_span_that_covers_a_rewritten_one_stands_alone():
+    for text in ("john@example.com", "call +1 2 3 4 5 6 7 8 9", "p\u043e 10.0.0.1 one two three"):
+        assert [s["added"] for s in pii.spans_of(text)] == [False]
+
+
 def test_prose_is_left_alone():
     for text in ("Look at the dot here, at dot at.", "one two", "Почта и дом", "Meet me at noon (at) home."):
         assert pii.spans_of(text) == []

@@ -8,7 +8,8 @@ characters it came from. The same patterns run on the rewritten text, and what
 they find there is carried back through those ranges.
 
 Spans found in the text as it stands always stay. A span from the rewritten
-text is added if it overlaps none of its kind. Texts are handled one by one
+text is added unless one of its kind equals or covers it, so a disguised part of an
+address widens what the text as it stands shows of it. Texts are handled one by one
 where they are; nothing is shuffled. Time grows linearly with the text.
 
 Defined cases: a NULL text is an empty one and has no spans; repeated rows each
@@ -243,9 +244,9 @@ def spans_of(text: str | None) -> list[dict]:
         if rewritten.starts is not None:
             for start, end in FINDERS[kind](rewritten.text):
                 start, end = rewritten.source(start, end)
-                # Base spans are sorted and apart: only the last to start before `end` may overlap.
-                before = bisect_left(base, (end, 0))
-                if not before or base[before - 1][1] <= start:
+                # Base spans are sorted and apart: only the last to start by `start` may cover it.
+                before = bisect_left(base, (start + 1, 0))
+                if not before or base[before - 1][1] < end:
                     found.append((start, end, True))
         spans += [
             {"kind": kind, "start": s, "end": e, "value": text[s:e], "added": added}
