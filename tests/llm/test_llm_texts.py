@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tieout.llm import decontaminate, pii, queries, toxicity
+from tieout.llm import decontaminate, licenses, pii, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string"
@@ -228,3 +229,34 @@ def test_clean_keeps_columns_and_the_untouched(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4]
     assert decontaminate.clean(docs, benchmark.limit(0)).count() == 4
     assert decontaminate.clean(docs.limit(0), benchmark).count() == 0
+
+
+# --- licenses -------------------------------------------------------------------------
+
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the
+authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial
+applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the
+original software. If you use this software in a product, an acknowledgment in the product
+documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being
+the original software.
+
+3. This notice may not be removed or altered from any source distribution."""
+COMMON = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0-only",
+          "GPL-3": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only", "MPL-2.0": "MPL-2.0"}
+
+
+def test_entire_texts_are_known(spark):
+    texts = [("Zlib", "zlib License\n\n(C) 2024 Me\n\n" + ZLIB), ("CC-BY-SA-3.0", "Licensed under CC BY-SA 3.0.")]
+    folder = Path("/usr/share/common-licenses")
+    if folder.is_dir():
+        texts += [(i, (folder / f).read_text()) for f, i in COMMON.items() if (folder / f).exists()]
+    texts.append((None, ZLIB + " Not."))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: r["license"] for r in licenses.license_scan(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [i for i, _ in texts]

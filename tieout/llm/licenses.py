@@ -7,7 +7,7 @@ the digests of known licenses, which are made by the same expressions. Lines
 are looked up the same way, each as an entire text, to find short notices.
 
 The known texts come as a table; the default holds the short licenses and
-notices below. It is small because licenses are: the join's strategy follows
+notices below and the digests of entire texts in `license_digests`. It is small because licenses are: the join's strategy follows
 its size. All documents are scanned by built-in functions only; of the lines,
 those that match nothing leave before anything is shuffled.
 
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieout.llm.common import scratch_of, table
+from tieout.llm.license_digests import ENTIRE_TEXTS
 
 # Spellings on the left count as those on the right.
 SPELLINGS = (
@@ -115,6 +116,13 @@ KNOWN = (
     ("CC0-1.0", "Licensed under CC0 1.0."),
 )
 
+# Notices of the other Creative Commons licenses, all versions.
+NOTICES = tuple(
+    (f"CC-{kind}-{version}", f"Licensed under CC {kind} {version}.")
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+    for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
+)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A line that starts, comment signs aside, with a claim of copyright.
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;>-]*(copyright|\(c\)|\x{A9}|all rights reserved)[^\n]*$"
@@ -165,11 +173,16 @@ def digests(text: Column) -> Column:
 
 
 def known_digests(spark, known: DataFrame | None = None) -> DataFrame:
-    """(digest, license) of a table (license, text)."""
+    """(digest, license) of a table (license, text), or of all texts known here."""
+    entire = None
     if known is None:
-        known = spark.createDataFrame(list(KNOWN), "license string, text string")
+        known = spark.createDataFrame([*KNOWN, *NOTICES], "license string, text string")
+        entire = spark.createDataFrame(
+            [tuple(row.split(" ")) for row in ENTIRE_TEXTS], "digest string, license string"
+        )
+    made = known.select("license", F.inline(digests(F.col("text")))).select("digest", "license")
     return (
-        known.select("license", F.inline(digests(F.col("text"))))
+        (made if entire is None else made.union(entire))
         .where("digest IS NOT NULL")
         .groupBy("digest")
         .agg(F.min("license").alias("license"))
