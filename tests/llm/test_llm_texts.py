@@ -161,6 +161,23 @@ def test_a_base_span_that_covers_a_rewritten_one_stands_alone():
         assert [s["added"] for s in pii.spans_of(text)] == [False]
 
 
+@pytest.mark.parametrize("zero", [0x0660, 0x06F0, 0x0966, 0x09E6])
+def test_numbers_wholly_in_other_digits(zero):
+    def put(text):
+        return "".join(chr(zero + int(c)) if c.isdigit() else c for c in text)
+
+    for kind, number in (
+        ("card", "4111111111111111"),
+        ("card", "4111 1111 1111 1111"),
+        ("card", "4111 11\u200b11 1111 1111"),
+        ("card", "4111\u20101111\u20101111\u20101111"),
+        ("phone", "+966 50 123 4567"),
+        ("ip", "192.168.0.1"),
+    ):
+        found = [(s["kind"], s["value"]) for s in pii.spans_of(f"\u0437 {put(number)} \u0437")]
+        assert found == [(kind, put(number))]
+
+
 def test_prose_is_left_alone():
     for text in ("Look at the dot here, at dot at.", "one two", "Почта и дом", "Meet me at noon (at) home."):
         assert pii.spans_of(text) == []

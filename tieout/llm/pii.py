@@ -106,10 +106,12 @@ LOOKALIKES = {
 }
 # Full-width forms of the printable ASCII characters, in order.
 FULL_WIDTH = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}
-DIGITS = {chr(zero + i): str(i) for zero in (0x0660, 0x06F0, 0x0966) for i in range(10)}
+# The decimal digits of every script.
+DIGITS = {c: str(int(c)) for c in map(chr, range(0x80, 0x20000)) if c.isdecimal() and c not in FULL_WIDTH}
 INVISIBLE = "­​‌‍⁠﻿"
 REPLACED = {**LOOKALIKES, **FULL_WIDTH, **DIGITS, **dict.fromkeys(INVISIBLE, "")}
 ANY_REPLACED = re.compile("[" + re.escape("".join(REPLACED)) + "]")
+LETTERS = frozenset(c for c, put in LOOKALIKES.items() if put.isalpha())
 NON_SPACE = re.compile(r"\S+")
 ASCII_SIGN = re.compile("[A-Za-z0-9@+.-]")
 
@@ -187,15 +189,23 @@ class Rewritten:
 
 
 def lookalikes(r: Rewritten) -> None:
-    """Only in words that hold ASCII signs too: words of another script stay."""
+    """Letters only in words that hold ASCII signs too: words of another script stay.
+
+    Digits and signs are rewritten whatever their word holds, invisible characters
+    in words that have either.
+    """
     if r.text.isascii() or not ANY_REPLACED.search(r.text):
         return
     edits = []
     for word in NON_SPACE.finditer(r.text):
         found = [m.start() for m in ANY_REPLACED.finditer(word.group())]
-        if found and (
+        if found and not (
             ASCII_SIGN.search(word.group()) or any(word.group()[i] in FULL_WIDTH for i in found)
         ):
+            found = [i for i in found if word.group()[i] not in LETTERS]
+            if all(word.group()[i] in INVISIBLE for i in found):
+                found = []
+        if found:
             at = word.start()
             edits += [(at + i, at + i + 1, REPLACED[word.group()[i]]) for i in found]
     r.replace(edits)
