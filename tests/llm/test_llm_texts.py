@@ -178,6 +178,25 @@ def test_numbers_wholly_in_other_digits(zero):
         assert found == [(kind, put(number))]
 
 
+@pytest.mark.parametrize(
+    "kind, hidden",
+    [
+        ("phone", "plus 4 4 7 7 0 0 9 0 0 1 2 3"),
+        ("ip", "1 9 2 dot 1 6 8 dot 0 dot 1"),
+        ("card", "cuatro " + " ".join(["uno"] * 15)),
+        ("card", "quatre " + "-".join(["un"] * 15)),
+        ("card", "vier " + " ".join(["eins"] * 15)),
+        ("phone", "plus zéro six deux trois sept huit neuf cinq"),
+        ("phone", "plus null fu\u0308nf zwei drei sieben acht neun sechs"),
+        ("phone", "más tres cuatro nueve uno dos cinco seis siete"),
+        ("ip", "eins null punkt null punkt zwei punkt eins"),
+    ],
+)
+def test_digits_spelled_in_the_languages_of_the_corpus(kind, hidden):
+    found = [(s["kind"], s["value"]) for s in pii.spans_of(f"({hidden})") if s["added"]]
+    assert found == [(kind, hidden)]
+
+
 def test_prose_is_left_alone():
     for text in ("Look at the dot here, at dot at.", "one two", "Почта и дом", "Meet me at noon (at) home."):
         assert pii.spans_of(text) == []

@@ -19,6 +19,7 @@ get theirs. Offsets count code points, ends are exclusive.
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Callable, Iterable
 
@@ -115,25 +116,37 @@ LETTERS = frozenset(c for c, put in LOOKALIKES.items() if put.isalpha())
 NON_SPACE = re.compile(r"\S+")
 ASCII_SIGN = re.compile("[A-Za-z0-9@+.-]")
 
-# Digit words.
+# Digit words of English, French, German and Spanish, each language from 0 to 9.
 NUMBER_WORDS = {
-    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5",
-    "six": "6", "seven": "7", "eight": "8", "nine": "9",
-}
-_NUMBER = "(?:" + "|".join(NUMBER_WORDS) + "|[0-9])"
+    word: str(digit)
+    for language in (
+        "zero,oh one two three four five six seven eight nine",
+        "zéro un,une deux trois quatre cinq six sept huit neuf",
+        "null eins,ein,eine zwei,zwo drei vier fünf,fuenf sechs sieben acht neun",
+        "cero uno,una dos tres cuatro cinco seis siete ocho nueve",
+    )
+    for digit, words in enumerate(language.split())
+    for own in words.split(",")
+    for word in (own, unicodedata.normalize("NFD", own))
+}
+# Longest first, so that no word is cut short by one that begins it.
+_NUMBER = "(?:" + "|".join(sorted(NUMBER_WORDS, key=len, reverse=True)) + "|[0-9])"
+_DOT_WORD = r"\x20(?:dot|point|punkt|punto)\x20"
+_PLUS = r"(?:plus|más|mas)\x20"
 _RUN = rf"{_NUMBER}(?:[\x20-]{_NUMBER})*"
+# Letters of the languages above; others may touch a number.
+_WORD = "[A-Za-z0-9À-ɏ̀-ͯ]"
 SPELLED = re.compile(
-    rf"(?<![A-Za-z0-9])(?:plus\x20)?(?:{_RUN}(?:\x20dot\x20{_RUN}){{3}}|{_NUMBER}(?:[\x20-]{_NUMBER}){{2,}})"
-    r"(?![A-Za-z0-9])",
+    rf"(?<!{_WORD})(?:{_PLUS})?"
+    rf"(?:{_RUN}(?:{_DOT_WORD}{_RUN}){{3}}|{_NUMBER}(?:[\x20-]{_NUMBER}){{2,}})(?!{_WORD})",
     re.I,
 )
-# Three digit words in a row, or a dot word between two, start every such run.
+# Every such run holds three digits in a row, or two around a dot word.
 MAY_BE_SPELLED = re.compile(
-    "(?:" + "|".join(NUMBER_WORDS) + r")[\x20-](?:dot\x20)?(?:" + "|".join(NUMBER_WORDS) + "|[0-9])",
-    re.I,
+    rf"{_NUMBER}(?:[\x20-]{_NUMBER}[\x20-]|{_DOT_WORD}){_NUMBER}", re.I
 )
-SPELLED_PART = re.compile(rf"plus\x20|\x20dot\x20|{_NUMBER}", re.I)
-WITHIN_SPELLED = {"plus ": "+", " dot ": "."}
+SPELLED_PART = re.compile(rf"(?P<plus>{_PLUS})|(?P<dot>{_DOT_WORD})|{_NUMBER}", re.I)
+WITHIN_SPELLED = {"plus": "+", "dot": "."}
 
 # The last part of a domain that is written out in words.
 TOP_LEVEL = (
@@ -219,7 +232,7 @@ def spelled_digits(r: Rewritten) -> None:
         at = done = run.start()
         for part in SPELLED_PART.finditer(run.group()):
             word = part.group().lower()
-            digit = NUMBER_WORDS.get(word, WITHIN_SPELLED.get(word, word))
+            digit = WITHIN_SPELLED.get(part.lastgroup) or NUMBER_WORDS.get(word, word)
             start, end = at + part.start(), at + part.end()
             if start > done:  # the separator of two digits
                 edits.append((done, start, ""))
