@@ -197,6 +197,30 @@ def test_digits_spelled_in_the_languages_of_the_corpus(kind, hidden):
     assert found == [(kind, hidden)]
 
 
+@pytest.mark.parametrize(
+    "kind, hidden",
+    [
+        ("ip", "192 dot 168 dot 0 dot 1"),
+        ("ip", "192.168 dot 0 dot 1"),
+        ("ip", "192 [dot] 168 dot 0 dot 1"),
+        ("ip", "192 dot one six eight dot zero dot 1"),
+        ("ip", "192 punto 168 punto 0 punto 1"),
+        ("email", "jane at corp dot xyz"),
+        ("email", "jane at corp dot online"),
+        ("email", "jane at corp dot co.uk"),
+        ("email", "jane at example.com"),
+    ],
+)
+def test_bare_signs(kind, hidden):
+    for text in (f"({hidden})", f"{hidden}."):
+        assert [(s["kind"], s["value"]) for s in pii.spans_of(text) if s["added"]] == [(kind, hidden)]
+
+
+def test_bare_dots_that_make_no_address():
+    for text in ("300 dot 168 dot 0 dot 1", "Look at the dot here", "jane at home.", "1 dot 2 dot 3", "at 5 dot 6"):
+        assert pii.spans_of(text) == []
+
+
 def test_prose_is_left_alone():
     for text in ("Look at the dot here, at dot at.", "one two", "Почта и дом", "Meet me at noon (at) home."):
         assert pii.spans_of(text) == []

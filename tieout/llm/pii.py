@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieout.llm.common import table
+from tieout.llm.top_level import TOP_LEVEL
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind: string, start: int, end: int, value: string, added: boolean>>"
@@ -134,41 +135,54 @@ _NUMBER = "(?:" + "|".join(sorted(NUMBER_WORDS, key=len, reverse=True)) + "|[0-9
 _DOT_WORD = r"\x20(?:dot|point|punkt|punto)\x20"
 _PLUS = r"(?:plus|más|mas)\x20"
 _RUN = rf"{_NUMBER}(?:[\x20-]{_NUMBER})*"
+# A part of an address: spelled, or a group of digits.
+_PART = rf"(?:[0-9]{{2,3}}(?![A-Za-z0-9])|{_RUN})"
+_DOT_SIGN = rf"(?:{_DOT_WORD}|\.)"
 # Letters of the languages above; others may touch a number.
 _WORD = "[A-Za-z0-9À-ɏ̀-ͯ]"
 SPELLED = re.compile(
     rf"(?<!{_WORD})(?:{_PLUS})?"
-    rf"(?:{_RUN}(?:{_DOT_WORD}{_RUN}){{3}}|{_NUMBER}(?:[\x20-]{_NUMBER}){{2,}})(?!{_WORD})",
+    rf"(?:{_PART}(?:{_DOT_SIGN}{_PART}){{3}}|{_NUMBER}(?:[\x20-]{_NUMBER}){{2,}})(?!{_WORD})",
     re.I,
 )
-# Every such run holds three digits in a row, or two around a dot word.
+# Every such run to rewrite holds the last two of three digits, or a dot word before one. It is
+# looked for from the separators, which are fewer than letters.
 MAY_BE_SPELLED = re.compile(
-    rf"{_NUMBER}(?:[\x20-]{_NUMBER}[\x20-]|{_DOT_WORD}){_NUMBER}", re.I
+    rf"[\x20-](?:{_NUMBER}[\x20-]|(?:dot|point|punkt|punto)\x20){_NUMBER}", re.I
 )
-SPELLED_PART = re.compile(rf"(?P<plus>{_PLUS})|(?P<dot>{_DOT_WORD})|{_NUMBER}", re.I)
+SPELLED_PART = re.compile(rf"(?P<plus>{_PLUS})|(?P<dot>{_DOT_SIGN})|{_NUMBER}", re.I)
 WITHIN_SPELLED = {"plus": "+", "dot": "."}
 
-# The last part of a domain that is written out in words.
-TOP_LEVEL = (
+# After "the dot" only these ends make a domain, others are words of the prose.
+ENDS_AFTER_ARTICLE = (
     "com|org|net|edu|gov|mil|int|info|biz|name|io|ai|co|me|tv|app|dev|eu|us|uk|de|fr|es|it|nl|be|ch"
     "|at|se|no|dk|fi|pl|pt|ie|cz|ru|ua|gr|tr|in|cn|jp|kr|au|nz|ca|mx|br|ar|cl|za|example"
 )
-_DOT = r"(?:\x20dot\x20|\x20?[\[({]\x20?dot\x20?[\])}]\x20?)"
+# Longest first; "example" is reserved for texts like these.
+_END = "(?:" + "|".join(sorted({*TOP_LEVEL, "example"}, key=lambda t: (-len(t), t))) + ")(?![A-Za-z0-9])"
+_PROSE = rf"the\x20dot\x20(?!(?:{ENDS_AFTER_ARTICLE})(?![A-Za-z0-9]))"
+_DOT = r"(?:\x20dot\x20|\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\.)"
 # Bracketed or written-out signs; bare words only where the end of a domain follows.
 AT_OR_DOT = re.compile(
     r"\x20{0,2}(?:[\[({<]\x20?(?P<at>at|@|arroba)\x20?[\])}>]|&\#64;|&commat;)\x20{0,2}"
     r"|\x20{0,2}(?:[\[({<]\x20?(?P<dot>dot|punto|punkt|point|\.)\x20?[\])}>]|&\#46;|&period;)\x20{0,2}"
     r"|(?<=[A-Za-z0-9])\x20(?P<bare_at>at)\x20"
-    rf"(?=[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+){{0,3}}{_DOT}(?:{TOP_LEVEL})(?![A-Za-z0-9]))"
+    rf"(?!{_PROSE})(?=[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+){{0,3}}{_DOT}{_END})"
     r"|(?<=[A-Za-z0-9])\x20(?P<bare_dot>dot)\x20"
-    rf"(?=(?:[A-Za-z0-9-]+{_DOT}){{0,3}}(?:{TOP_LEVEL})(?![A-Za-z0-9]))",
+    rf"(?=(?:[A-Za-z0-9-]+{_DOT}){{0,3}}{_END})",
     re.I,
 )
 MAY_BE_SIGN = re.compile(
     r"[\[({<]\x20?(?:at|dot|@|\.|arroba|punto|punkt|point)\x20?[\])}>]"
-    r"|&(?:#64|#46|commat|period);|\x20dot\x20",
+    r"|&(?:#64|#46|commat|period);"
+    r"|\x20(?:dot\x20|at\x20[A-Za-z0-9-]+\.|(?:point|punkt|punto)\x20[0-9])",
     re.I,
 )
+# Four groups of digits with signs or bare dot words between them.
+_BETWEEN = rf"(?:{_DOT_WORD}|\.|\x20?[\[({{]\x20?(?:dot|point|punkt|punto)\x20?[\])}}]\x20?)"
+FOUR_GROUPS = re.compile(rf"(?<![A-Za-z0-9])[0-9]+(?:{_BETWEEN}[0-9]+){{3}}(?![A-Za-z0-9])", re.I)
+BARE_DOT = re.compile(_DOT_WORD, re.I)
+GROUP = re.compile("[0-9]+")
 
 
 class Rewritten:
@@ -244,13 +258,17 @@ def spelled_digits(r: Rewritten) -> None:
 def at_and_dot(r: Rewritten) -> None:
     if not MAY_BE_SIGN.search(r.text):
         return
-    edits = []
+    edits = {}
     for m in AT_OR_DOT.finditer(r.text):
         named = m.lastgroup
         sign = m.group().strip().lower()
         is_at = named in ("at", "bare_at") or sign in ("&#64;", "&commat;")
-        edits.append((*m.span(), "@" if is_at else "."))
-    r.replace(edits)
+        edits[m.span()] = "@" if is_at else "."
+    for run in FOUR_GROUPS.finditer(r.text):
+        if all(len(g) <= 3 and int(g) <= 255 for g in GROUP.findall(run.group())):
+            for m in BARE_DOT.finditer(r.text, *run.span()):
+                edits[m.span()] = "."
+    r.replace([(*span, put) for span, put in sorted(edits.items())])
 
 
 def spans_of(text: str | None) -> list[dict]:
