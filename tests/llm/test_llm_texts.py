@@ -59,6 +59,24 @@ def test_odd_rows_and_no_labels(spark):
     assert toxicity.without_toxic(docs.limit(0), labels).count() == 0
 
 
+def test_one_toxic_label_in_a_thousand():
+    rng = random.Random(11)
+    words, grim = [f"w{i}" for i in range(2_000)], ["grim", "vile", "foul", "dire", "rank", "base"]
+
+    def text(toxic):
+        return " ".join(rng.choices(words, k=40) + rng.sample(grim, 3 * toxic)).encode()
+
+    texts = [text(True) for _ in range(150)] + [text(i % 1000 == 0) for i in range(4_000)]
+    model = toxicity.train(texts, np.arange(len(texts)) < 150, 0.001, toxicity.MOST_FEATURES)
+
+    def toxic(t):
+        return model[toxicity.BIAS] + sum(model.get(f, 0.0) for f in toxicity.features(t)) > 0
+
+    # Four toxic texts are all the unlabelled sample holds: which words they share moves the recall.
+    assert np.mean([toxic(text(True)) for _ in range(300)]) > 0.6
+    assert np.mean([toxic(text(False)) for _ in range(3_000)]) < 0.001
+
+
 def test_unlabelled_text_is_not_taken_for_clean():
     # Feature 0 marks positives and the toxic share of the unlabelled, feature 1 the rest.
     cols = np.array([0] * 4 + [0] * 3 + [1] * 7)

@@ -80,9 +80,9 @@ def pick_features(in_pos: np.ndarray, n_pos: int, in_unl: np.ndarray, n_unl: int
     """Features likelier in toxic than in clean text, the most telling first.
 
     Their frequency in clean text is what is left of the unlabelled frequency
-    once the toxic share is taken out. A feature must by itself make a text more
-    likely toxic than not, and must be likelier among positives than chance would
-    make one of all features tried, so that rare words of a few texts are not learnt.
+    once the toxic share is taken out. A feature must be likelier among positives
+    than chance would make one of all features tried, so that rare words of a few texts
+    are not learnt; how much it tells at the given prior, the risk weighs.
     """
     toxic = in_pos / n_pos
     clean = np.maximum(in_unl / n_unl - prior * toxic, 0.0) / (1 - prior)
@@ -90,7 +90,7 @@ def pick_features(in_pos: np.ndarray, n_pos: int, in_unl: np.ndarray, n_unl: int
     by_chance = 2 * np.log(max(len(in_pos), 2))
     chosen = [
         i
-        for i in np.flatnonzero(ratio > (1 - prior) / prior)
+        for i in np.flatnonzero(ratio > 1)
         if likelihood_ratio(in_pos[i], n_pos, in_unl[i], n_unl) > by_chance
     ]
     score = in_pos * np.log(ratio)
