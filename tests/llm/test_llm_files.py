@@ -78,6 +78,21 @@ def test_encoder_equals_the_library(tokenizer, encoder, text):
     assert encoder.encode(text) == direct(tokenizer, text)
 
 
+@given(st.lists(st.sampled_from("ab É 9 . , & % ' | < - \x1c \x1f \x85 \xa0 \u2003 \u0301 \n".split(" ") + [" "])))
+@settings(max_examples=300, deadline=None)
+def test_encoder_on_signs_and_separators(tokenizer, encoder, parts):
+    assert encoder.encode("".join(parts)) == direct(tokenizer, "".join(parts))
+
+
+def test_encoder_forgets_in_generations(tokenizer):
+    small = tokens.Encoder(tokens.tokenizer_file(), words_kept=5)
+    texts = ["one two three", "four five six one", "x" * 100 + " one", "seven one", ""] * 4
+    assert small.encode_all(texts) == [direct(tokenizer, t) for t in texts]
+    for text in texts:
+        assert small.encode(text) == direct(tokenizer, text)
+        assert len(small.words) <= 5 + 8 and "x" * 100 not in small.words
+
+
 def test_encoder_on_awkward_words(tokenizer, encoder):
     assert encoder.plain
     for text in (

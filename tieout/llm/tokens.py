@@ -31,7 +31,8 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -168,10 +169,40 @@ def from_file(content: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 # --- encoding -------------------------------------------------------------------------
 
+# White space to str.split(), but not to the tokenizer.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 SPACES = re.compile("[ \n\t\r]+")
-# Without U+0130, the one whose lower case is two characters.
-LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
-WORDS_KEPT = 300_000
+# Letters between runs of ASCII signs. Without the apostrophe, which begins endings such
+# as 's, the bar, which special tokens hold, and U+0130, the one letter here whose lower
+# case is two characters.
+PARTS = re.compile(
+    "([!-&(-/:-@[-`{}~]*)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@[-`{}~]*)"
+)
+LONGEST_KEPT = 40
+WORDS_KEPT = 450_000
+CHARACTERS_AT_ONCE = 1 << 20
+TEXTS_AT_ONCE = 256
+
+
+class Memory(dict):
+    """Ids of words, in two generations: what is not met in the younger one's time goes."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def recall(self, words: set[str]) -> set[str]:
+        """The words that are not known. Those known from before are young again."""
+        unknown = words - self.keys()
+        for word in unknown & self.older.keys():
+            self[word] = self.older[word]
+            unknown.remove(word)
+        return unknown
+
+    def age(self) -> None:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -179,76 +210,93 @@ class Encoder:
 
     The tokenizer's own steps (composition, lower case, splitting into letters,
     digits and signs) never look across white space, so a text's ids are those
-    of its words one after the other. Words of Latin letters, the bulk, skip the
-    steps that cannot change them and go to the library's model directly; all
-    others go through the whole of it. That is checked against encode() when an
-    encoder is made, on a sample of words, and all words take the long way should they differ.
+    of its words one after the other. Letters of Latin words, the bulk, skip the
+    steps that cannot change them and go to the library's model directly; runs of
+    signs around them are few and remembered; all other words go through the whole
+    of it. That is checked against encode() when an encoder is made, on a sample of
+    words, and all words take the long way should they differ.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         model = self.tokenizer.model
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        letters = [chr(c) for c in range(0x250) if LATIN.fullmatch(chr(c))]
+        letters = [chr(c) for c in range(0x250) if PARTS.fullmatch(chr(c))]
         lower = {c.lower() for c in letters}
         self.translated = str.maketrans({c: as_bytes.pre_tokenize_str(c)[0][0] for c in lower})
         self.tokenize = model.tokenize
-        self.words: dict[str, bytes] = {}
-        self.lower: dict[str, bytes] = {}
+        self.words = Memory(words_kept)
         self.plain = all(
-            self.by_model(w.lower()) == self.by_library(w)
+            self.word(w) == self.by_library(w)
             for w in ("The", "Straße", "Éléments", "niño", "internationalisation", "xqzvw", "ǆ", "A")
-        ) and self.by_library("one, two.\tThree\n«4» don't") == b"".join(
-            map(self.by_library, ("one,", "two.", "Three", "«4»", "don't"))
+            + ("(end).", "the&&&", "<b>", "<|startoftext|>", "#tag", "C++", "e-mail", "don't", "\u00a71")
+        ) and self.by_library("one, two.\tThree\n«4»\u00a0five\u2003six\x85don't") == b"".join(
+            map(self.by_library, ("one,", "two.", "Three", "«4»", "five", "six", "don't"))
         )
 
     def by_library(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def by_model(self, word: str) -> bytes:
-        tokens = self.tokenize(word.translate(self.translated))
-        return np.array([t.id for t in tokens], dtype="<u4").tobytes()
-
-    def latin(self, word: str) -> bytes:
-        word = word.lower()
-        ids = self.lower.get(word)
+        written = word if word.isascii() else word.translate(self.translated)
+        return array("I", [t.id for t in self.tokenize(written)]).tobytes()
+
+    def remembered(self, part: str, make: Callable[[str], bytes]) -> bytes:
+        """Ids of a part of a word, which is a word itself."""
+        if len(part) > LONGEST_KEPT:
+            return make(part)
+        ids = self.words.get(part)
         if ids is None:
-            if len(self.lower) >= WORDS_KEPT:
-                self.lower.clear()
-            ids = self.lower[word] = self.by_model(word)
+            ids = self.words.older.get(part)
+            ids = self.words[part] = make(part) if ids is None else ids
         return ids
 
     def word(self, word: str) -> bytes:
-        core = word.rstrip(".,")
-        if len(word) - len(core) <= 1 and LATIN.fullmatch(core):
-            sign = word[len(core) :]
-            return self.latin(core) + (self.sign(sign) if sign else b"")
-        return self.by_library(word)
-
-    def sign(self, sign: str) -> bytes:
-        if sign not in self.words:
-            self.words[sign] = self.by_library(sign)
-        return self.words[sign]
+        parts = PARTS.fullmatch(word)
+        if parts is None:
+            return self.by_library(word)
+        before, letters, after = parts.groups()
+        ids = self.remembered(letters.lower(), self.by_model)
+        if before:
+            ids = self.remembered(before, self.by_library) + ids
+        return ids + self.remembered(after, self.by_library) if after else ids
+
+    def words_of(self, text: str) -> list[str]:
+        return text.split() if SEPARATORS.search(text) is None else SPACES.split(text)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """All ids of each text as little-endian 32-bit integers."""
+        if not self.plain:
+            return [self.by_library(text) for text in texts]
+        out, at = [], 0
+        while at < len(texts):
+            # Long texts one by one, so that the words held at once are bounded by one text.
+            split, size = [], 0
+            while at < len(texts) and (not split or size + len(texts[at]) <= CHARACTERS_AT_ONCE):
+                split.append(self.words_of(texts[at]))
+                size += len(texts[at])
+                at += 1
+            self.words.age()
+            unknown = self.words.recall(set().union(*split))
+            for word in unknown:
+                self.words[word] = self.word(word)
+            out += [b"".join(map(self.words.__getitem__, words)) for words in split]
+            for word in unknown:
+                if len(word) > LONGEST_KEPT:
+                    del self.words[word]
+        return out
 
     def encode(self, text: str) -> bytes:
-        """All ids as little-endian 32-bit integers."""
-        if not self.plain:
-            return self.by_library(text)
-        if len(self.words) >= WORDS_KEPT:
-            self.words.clear()
-        known, out = self.words, []
-        for word in SPACES.split(text):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.word(word)
-                if len(word) <= 40:
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encoded(self, batch: pa.RecordBatch) -> Iterator[tuple]:
+        """(first column, ids of the second) of each row, some rows at a time."""
+        for at in range(0, len(batch), TEXTS_AT_ONCE):
+            keys, texts = (column.to_pylist() for column in batch.slice(at, TEXTS_AT_ONCE).columns[:2])
+            yield from zip(keys, self.encode_all(texts))
 
 
 # --- on Spark -------------------------------------------------------------------------
@@ -283,11 +331,10 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
         for batch in batches:
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(value.as_py()) + end
+            for doc_id, ids in encoder.encoded(batch):
                 doc_ids.append(doc_id)
-                counts.append(len(ids) // 4)
-                parts.append(ids)
+                counts.append(len(ids) // 4 + 1)
+                parts += [ids, end]
                 n += counts[-1]
                 if n >= ids_per_file:
                     yield file()
