@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tieout.llm import decontaminate, embedding_dup, licenses, mixing, near_dup, pii, sharding, tokens, toxicity, warc
+from tieout.llm import (
+    decontaminate,
+    embedding_dup,
+    hard_negatives,
+    lexical,
+    licenses,
+    mixing,
+    near_dup,
+    packing,
+    pii,
+    sharding,
+    tokens,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     query.__name__: query
@@ -17,6 +31,9 @@ QUERIES = {
         pii.op8_pii_spans,
         decontaminate.op9_decontaminate,
         near_dup.op10_near_duplicates,
+        hard_negatives.op11_hard_negatives,
+        lexical.op12_ranked_search,
+        packing.op13_pack_sequences,
     )
 }
 
@@ -24,4 +41,6 @@ ORACLE_SQL = {
     "op2_mix_sources": mixing.ORACLE_SQL,
     "op6_license_digests": licenses.ORACLE_SQL,
     "op9_decontaminate": decontaminate.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op12_ranked_search": lexical.ORACLE_SQL,
 }
