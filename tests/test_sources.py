@@ -303,5 +303,5 @@ def test_another_table_format(spark, tmp_path, files):
     pipeline.land_extracts(lake, files)
     pipeline.refine(lake)
     folder = tmp_path / "orc-lake" / "silver" / DEFAULT.datasets["gl"].table
-    assert list(folder.glob("*.orc")) and not list(folder.glob("*.parquet"))
+    assert list(folder.rglob("*.orc")) and not list(folder.rglob("*.parquet"))
     assert lake.read("silver", DEFAULT.datasets["gl"].table).count() > 0
