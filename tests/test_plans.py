@@ -110,6 +110,34 @@ def test_bitmap_of_repeated_ids_misses_none(spark, scratch, bits):
         assert r["_copies_gl_entry_id"] == (n if n > 1 else None)
 
 
+@pytest.mark.parametrize("bits, slices", [(31, 1), (17, 3)])
+def test_filter_of_many_ids_lets_few_others_through(spark, scratch, bits, slices):
+    """20,000 repeated ids; its size follows their number, beyond 2**bits in slices."""
+    ids = spark.range(20_000).select(F.concat(F.lit("id"), "id").alias("gl_entry_id"))
+    repeated = scratch.keep(ids.withColumn("_copies_gl_entry_id", F.lit(2).cast("bigint")), "repeated")
+    others = spark.range(400_000).select(F.concat(F.lit("other"), "id").alias("gl_entry_id"))
+    rows = scratch.keep(others.unionByName(ids), "rows")
+    found = uniqueness.joined_where_possible(rows, repeated, 20_000, "gl_entry_id", scratch, bits)
+    per_copies = found.groupBy("_copies_gl_entry_id").count().collect()
+    assert {r[0]: r["count"] for r in per_copies} == {None: 400_000, 2: 20_000}
+    words = uniqueness.BITS_PER_VALUE * 20_000 // 64 // slices + 1
+    passed = 0
+    for number in range(slices):
+        part = F.pmod(F.xxhash64("gl_entry_id", F.lit("slice")), F.lit(slices)) == number
+        own = scratch.keep(uniqueness.filter_rows(repeated.where(part), "gl_entry_id", words), "filter")
+        assert own.select(F.sum(F.size("_words"))).first()[0] < words + 1024
+        through, _ = uniqueness.passed_and_joined(
+            rows.where(part), repeated.where(part), own, "gl_entry_id", words
+        )
+        passed += through.count()
+    assert 20_000 <= passed < 20_000 + 0.01 * 400_000
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        p = plan(found)
+    # Per slice one exchange of candidates and one of the repeated ids.
+    assert p.count("Exchange hashpartitioning") == 2 * slices
+    assert p.count("BroadcastHashJoin") == 2 * slices
+
+
 def test_hot_id_is_split_when_nothing_is_broadcast(spark, scratch):
     """Half of the rows share an id; AQE cuts their partition and none is lost."""
     rows = spark.range(0, 400000, 1, 16).select(
