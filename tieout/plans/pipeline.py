@@ -22,7 +22,14 @@ from tieout.operators.controls import ControlFailure, require
 from tieout.operators.reconcile import recon_controls, reconcile
 from tieout.operators.refine import conservation, losses, to_quarantine, with_types
 from tieout.session import together
-from tieout.sources.extracts import MALFORMED, completeness, read_extract, to_bronze, with_lineage
+from tieout.sources.extracts import (
+    MALFORMED,
+    completeness,
+    read_extract,
+    rejected_lines,
+    to_bronze,
+    with_lineage,
+)
 from tieout.sources.lakehouse import Lakehouse
 
 
@@ -37,37 +44,54 @@ def land_extracts(
     batch_id: str | None = None,
     multi_line: bool = False,
     escape: str = "\\",
+    most_rejected: int = 0,
 ) -> str:
-    """CSV files to bronze, losing no row."""
+    """CSV files to bronze, losing no row.
+
+    Up to `most_rejected` lines of a dataset that are no rows are stored as rejected
+    lines, with file, offset and reason; landing stops if there are more. In any case
+    rows and rejected lines together are the lines of the files.
+    """
     contract.validate()
     batch_id = batch_id or uuid.uuid4().hex
     lake.create_layers()
     with lake.staged() as stage:
 
         def land(dataset: str, path: str) -> None:
-            source = schemas.SOURCES[dataset]
+            source, table = schemas.SOURCES[dataset], contract.datasets[dataset].table
             extract = read_extract(stage.spark, path, source, dataset, multi_line, escape)
             malformed = Observation(f"{dataset}-malformed-lines")
             counted = extract.observe(malformed, F.count_if(F.col(MALFORMED).isNotNull()).alias("lines"))
-            landed = stage.write(
-                to_bronze(with_lineage(counted, batch_id), dataset),
-                "bronze",
-                contract.datasets[dataset].table,
-            )
-            if malformed.get["lines"]:
+            if most_rejected:
+                # Not pushed below the count.
+                counted = counted.where(F.col(MALFORMED).isNull())
+            landed = stage.write(to_bronze(with_lineage(counted, batch_id), dataset), "bronze", table)
+            if malformed.get["lines"] > most_rejected:
                 raise ControlFailure(
                     f"landing {dataset}: {malformed.get['lines']} lines have too few or too many cells"
                 )
-            if not multi_line:
-                counted = completeness(stage.spark, path, landed, dataset)
-                require(
-                    counted.select(
-                        F.concat(F.lit("rows of "), "dataset").alias("control"),
-                        F.col("source_rows").alias("expected"),
-                        F.col("bronze_rows").alias("actual"),
-                    ),
-                    "landing",
+            rejected = None
+            if most_rejected:
+                # Kept with all columns: the reader tells malformed lines by reading all.
+                lines = stage.scratch().keep(extract.where(F.col(MALFORMED).isNotNull()), "malformed")
+                lines = lines.select(F.col("_source_file").alias("file"), F.col(MALFORMED).alias("line"))
+                rejected = stage.write(
+                    rejected_lines(stage.spark, path, lines, dataset, batch_id, multi_line),
+                    "bronze",
+                    f"{table}_rejected",
                 )
+                n = rejected.count()
+                if n > most_rejected:
+                    raise ControlFailure(f"landing {dataset}: {n} lines rejected, at most {most_rejected} may be")
+            counts = completeness(stage.spark, path, landed, dataset, multi_line, escape, rejected)
+            require(
+                counts.select(
+                    F.concat(F.lit("rows of "), "dataset").alias("control"),
+                    F.col("source_rows").alias("expected"),
+                    F.col("bronze_rows").alias("actual"),
+                ),
+                "landing",
+            )
 
         together(*[partial(land, dataset, path) for dataset, path in paths.items()])
     return batch_id

@@ -182,6 +182,26 @@ TABLES = {
     ("gold", "dq_rule_scorecard"): DQ_RULE_SCORECARD,
 }
 
+# Lines that could not be landed, beside the tables of the pipeline.
+REJECTED_LINES = _struct(
+    ("_source_file", STRING, False, "File the line is in."),
+    ("line_offset", LONG, True, "Its first byte in the file; NULL if records span lines."),
+    ("line", STRING, False, "The line as it is."),
+    ("reason", STRING, False, "Why it is no row."),
+    ("_dataset", STRING, False, "gl or ap."),
+    ("_ingested_at", TIMESTAMP, False, "When the load ran."),
+    ("_batch_id", STRING, False, "Load the line belongs to."),
+)
+REJECTS = {
+    ("bronze", f"{table}_rejected"): REJECTED_LINES
+    for layer, table in TABLES
+    if layer == "bronze"
+}
+
+
+def declared(layer: str, table: str) -> T.StructType:
+    return (TABLES | REJECTS)[layer, table]
+
 
 def ddl(schema: T.StructType) -> str:
     """Column list of a CREATE TABLE statement; StructType.fromDDL reads it back."""

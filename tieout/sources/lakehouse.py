@@ -85,7 +85,7 @@ class Lakehouse:
         return self.read(layer, table)
 
     def read(self, layer: str, table: str) -> DataFrame:
-        schema = schemas.TABLES[layer, table]
+        schema = schemas.declared(layer, table)
         if self.catalog is not None:
             stored = self.spark.table(self.location(layer, table))
         else:
@@ -182,7 +182,7 @@ class Lakehouse:
         for entry in log:
             published.setdefault((entry["layer"], entry["table"]), []).append(entry["run"])
         gone = []
-        for layer, table in schemas.TABLES:
+        for layer, table in schemas.TABLES | schemas.REJECTS:
             known = published.get((layer, table), [])
             stored = self.stored_runs(layer, table)
             drop = [r for r in stored if r in known[keep:] or (unpublished and r not in known)]
@@ -249,7 +249,7 @@ class Staged(Lakehouse):
     def write(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        declared = conform(df, schemas.TABLES[layer, table], f"{layer}.{table}")
+        declared = conform(df, schemas.declared(layer, table), f"{layer}.{table}")
         writer = declared.write.mode("overwrite").format(self.table_format)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
