@@ -91,6 +91,7 @@ def test_encoder_forgets_in_generations(tokenizer):
     for text in texts:
         assert small.encode(text) == direct(tokenizer, text)
         assert len(small.words) <= 5 + 8 and "x" * 100 not in small.words
+    assert tokens.Encoder.word(small, "Word.") == direct(tokenizer, "Word.") and "word" in small.words
 
 
 def test_encoder_on_awkward_words(tokenizer, encoder):

@@ -180,24 +180,23 @@ PARTS = re.compile(
 )
 LONGEST_KEPT = 40
 WORDS_KEPT = 450_000
-CHARACTERS_AT_ONCE = 1 << 20
 TEXTS_AT_ONCE = 256
 
 
 class Memory(dict):
     """Ids of words, in two generations: what is not met in the younger one's time goes."""
 
-    def __init__(self, most: int):
+    def __init__(self, make: Callable[[str], bytes], most: int):
         super().__init__()
-        self.most, self.older = most, {}
+        self.make, self.most, self.older = make, most, {}
 
-    def recall(self, words: set[str]) -> set[str]:
-        """The words that are not known. Those known from before are young again."""
-        unknown = words - self.keys()
-        for word in unknown & self.older.keys():
-            self[word] = self.older[word]
-            unknown.remove(word)
-        return unknown
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= LONGEST_KEPT:
+            self[word] = ids
+        return ids
 
     def age(self) -> None:
         if len(self) >= self.most:
@@ -228,7 +227,7 @@ class Encoder:
         lower = {c.lower() for c in letters}
         self.translated = str.maketrans({c: as_bytes.pre_tokenize_str(c)[0][0] for c in lower})
         self.tokenize = model.tokenize
-        self.words = Memory(words_kept)
+        self.words = Memory(self.word, words_kept)
         self.plain = all(
             self.word(w) == self.by_library(w)
             for w in ("The", "Straße", "Éléments", "niño", "internationalisation", "xqzvw", "ǆ", "A")
@@ -244,25 +243,19 @@ class Encoder:
         written = word if word.isascii() else word.translate(self.translated)
         return array("I", [t.id for t in self.tokenize(written)]).tobytes()
 
-    def remembered(self, part: str, make: Callable[[str], bytes]) -> bytes:
-        """Ids of a part of a word, which is a word itself."""
-        if len(part) > LONGEST_KEPT:
-            return make(part)
-        ids = self.words.get(part)
-        if ids is None:
-            ids = self.words.older.get(part)
-            ids = self.words[part] = make(part) if ids is None else ids
-        return ids
-
     def word(self, word: str) -> bytes:
+        if word.islower() and word.isascii() and word.isalpha():
+            return self.by_model(word)
         parts = PARTS.fullmatch(word)
         if parts is None:
             return self.by_library(word)
         before, letters, after = parts.groups()
-        ids = self.remembered(letters.lower(), self.by_model)
+        # Parts are words themselves, so they are remembered as such.
+        lower = letters.lower()
+        ids = self.by_model(lower) if lower == word else self.words[lower]
         if before:
-            ids = self.remembered(before, self.by_library) + ids
-        return ids + self.remembered(after, self.by_library) if after else ids
+            ids = self.words[before] + ids
+        return ids + self.words[after] if after else ids
 
     def words_of(self, text: str) -> list[str]:
         return text.split() if SEPARATORS.search(text) is None else SPACES.split(text)
@@ -271,22 +264,10 @@ class Encoder:
         """All ids of each text as little-endian 32-bit integers."""
         if not self.plain:
             return [self.by_library(text) for text in texts]
-        out, at = [], 0
-        while at < len(texts):
-            # Long texts one by one, so that the words held at once are bounded by one text.
-            split, size = [], 0
-            while at < len(texts) and (not split or size + len(texts[at]) <= CHARACTERS_AT_ONCE):
-                split.append(self.words_of(texts[at]))
-                size += len(texts[at])
-                at += 1
+        out, ids_of = [], self.words.__getitem__
+        for text in texts:
             self.words.age()
-            unknown = self.words.recall(set().union(*split))
-            for word in unknown:
-                self.words[word] = self.word(word)
-            out += [b"".join(map(self.words.__getitem__, words)) for words in split]
-            for word in unknown:
-                if len(word) > LONGEST_KEPT:
-                    del self.words[word]
+            out.append(b"".join(map(ids_of, self.words_of(text))))
         return out
 
     def encode(self, text: str) -> bytes:
