@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -133,6 +134,18 @@ def test_query_holds_all_documents(spark, tokenizer):
     whole(found, tokenizer, texts)
 
 
+def test_sequences_as_arrays(spark, tokenizer):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "four " * 5000)], DOCS).coalesce(1)
+    kept = scratch_of(spark).keep(packing.sequences(docs, tokenizer_file()), "sequences")
+    expected = Counter(tokenizer.encode("one two three", add_special_tokens=False).ids + [1, 1])
+    expected.update(tokenizer.encode("four", add_special_tokens=False).ids * 5000)
+    plain = packing.token_ids(kept).collect()
+    assert sum((Counter(r.ids) for r in plain), Counter()) == expected
+    odd = kept.withColumn("padded", F.lit(2048)).where("n_tokens < 2048")
+    for r in packing.token_ids(odd, padding=49407).collect():
+        assert len(r.ids) == 2048 and r.ids[r.n_tokens :] == [49407] * (2048 - r.n_tokens)
+
+
 def test_odd_rows(spark, tokenizer):
     long = "wort & zwei " * 40_000
     texts = {1: None, 2: "", 3: "  ", 4: long, 5: "same", 6: "same", None: "no id"}

@@ -46,7 +46,7 @@ TASK_BITS = 40  # of a sequence id, below the number of the task
 PIECE = (
     "struct<doc_id: bigint, start: bigint, length: bigint, doc_tokens: bigint, offset: bigint>"
 )
-SEQUENCE = f"sequence_id bigint, n_tokens int, padded int, ids array<int>, pieces array<{PIECE}>"
+SEQUENCE = f"sequence_id bigint, n_tokens int, padded int, ids binary, pieces array<{PIECE}>"
 
 
 @dataclass(slots=True)
@@ -206,9 +206,10 @@ def sequences(
     window: int = WINDOW,
     most_open: int = MOST_OPEN,
 ) -> DataFrame:
-    """(sequence_id, n_tokens, padded, ids, pieces) of all documents, ids with no padding.
+    """(sequence_id, n_tokens, padded, ids, pieces) of all documents.
 
-    Store it before reading it twice: ids of sequences follow the tasks' order.
+    ids are little-endian 32-bit integers, without padding; `token_ids` makes an array
+    of them. Store it before reading it twice: sequence ids follow the tasks' order.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
@@ -230,7 +231,7 @@ def sequences(
 
         def batch_of(windows: list[Window]) -> pa.RecordBatch:
             fills = np.array([w.fill for w in windows])
-            ids = np.frombuffer(b"".join(p.ids for w in windows for p in w.pieces), "<i4")
+            ids = [b"".join(p.ids for p in w.pieces) for w in windows]
             ends = np.concatenate([[0], np.cumsum(fills)]).astype(np.int32)
             pieces = [p for w in windows for p in w.pieces]
             lengths = np.array([len(p) for p in pieces])
@@ -250,7 +251,7 @@ def sequences(
                     pa.array(np.arange(made, made + len(windows)) + task, pa.int64()),
                     pa.array(fills, pa.int32()),
                     pa.array([padded(w.fill, window) for w in windows], pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32))),
+                    pa.array(ids, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), parts),
                 ],
                 ["sequence_id", "n_tokens", "padded", "ids", "pieces"],
@@ -267,6 +268,21 @@ def sequences(
     return rows.mapInArrow(pack, SEQUENCE)
 
 
+def token_ids(packed: DataFrame, padding: int | None = None) -> DataFrame:
+    """Stored sequences with ids as array<int>, filled up with `padding` if it is given."""
+
+    def decode(ids: pa.Array, lengths: pa.Array) -> pa.Array:
+        rows = [np.frombuffer(i, "<i4") for i in ids.to_pylist()]
+        if padding is not None:
+            fill = [n - len(r) for r, n in zip(rows, lengths.to_pylist())]
+            rows = [np.append(r, np.full(n, padding, "<i4")) for r, n in zip(rows, fill)]
+        ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+        values = np.concatenate([np.zeros(0, np.int32), *rows]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+    return packed.withColumn("ids", F.arrow_udf(decode, "array<int>")("ids", "padded"))
+
+
 def pieces_of(packed: DataFrame) -> DataFrame:
     """A row per piece of stored sequences, with the CRC-32 of its ids."""
     names = ("doc_id", "start", "length", "doc_tokens", "offset")
@@ -274,9 +290,7 @@ def pieces_of(packed: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sequence, n_tokens, length, ids, pieces = batch.columns
-            # Flattened by their offsets, so a slice of a larger batch is read right.
-            values = np.ascontiguousarray(ids.flatten().to_numpy(zero_copy_only=False), "<i4")
-            data = memoryview(values.tobytes())
+            data = memoryview(b"".join(ids.to_pylist()))
             parts = pieces.flatten()
             owner = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(pieces))
             lengths = parts.field("length").to_numpy(zero_copy_only=False)
