@@ -45,9 +45,10 @@ from tieout.llm import grid
 from tieout.llm.common import one_row, scratch_of, table
 
 K = 10
-BUCKET = 8192
+BUCKET = 4096
 QUERIES = 4096
 BITS = 20
+TEXTS_AT_ONCE = 512
 WORD_BITS = 6
 ROUNDING = 1e-9
 # Fixed values of the score.
@@ -72,7 +73,8 @@ def counted(rows: DataFrame, keys: list[str], known: np.ndarray | None) -> DataF
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = shared.value.tobytes() if shared is not None else None
         mask = len(places) - 1 if places is not None else 0
-        for batch in batches:
+        # Some texts at a time: their terms are many Python objects.
+        for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, len(b), TEXTS_AT_ONCE)):
             sizes, ends, terms, tfs = [], [0], [], []
             for text in batch.column("text"):
                 words = terms_of(text.as_py())
@@ -168,7 +170,7 @@ def bucket(rows: pa.Table) -> tuple[bytes, float, dict]:
         ends=np.append(starts, len(terms)),
         largest=largest,
         documents=document[order],
-        impacts=impacts[order],
+        impacts=impacts[order].astype(np.int32),
     )
     return blob, -float(norms.max()), {}
 
@@ -214,7 +216,7 @@ class Searching:
         ends, documents, impacts = bucket["ends"], bucket["documents"], bucket["impacts"]
         for p, weight in zip(place[:read].tolist(), weights[:read].tolist()):
             at = slice(ends[p], ends[p + 1])
-            met, values = documents[at], impacts[at]
+            met, values = documents[at], impacts[at].astype(np.int64)
             score[met] += weight * values
             if not whole:
                 covered[met] += np.square(values.astype(np.float64))
@@ -228,7 +230,7 @@ class Searching:
                 found = np.searchsorted(documents[at], met)
                 found = np.minimum(found, ends[p + 1] - ends[p] - 1)
                 has = documents[at][found] == met
-                score[met[has]] += weight * impacts[at][found[has]]
+                score[met[has]] += weight * impacts[at][found[has]].astype(np.int64)
         met = met[score[met] >= least]
         if len(met):
             keys = (bucket["rows"][met], bucket["doc_ids"][met], bucket["no_id"][met], -score[met])
