@@ -11,9 +11,12 @@ from tieout import contract as c
 from tieout import schemas
 from tieout.functions.casts import conform
 from tieout.operators import gold, scorecard
+from tieout.operators.controls import ControlFailure
 from tieout.operators.rank import global_rank
 from tieout.operators.reconcile import reconcile
+from tieout.plans import pipeline
 from tieout.plans.workspace import workspace
+from tieout.sources import fixtures
 
 SIDE = (
     "account_code string, account_name string, vendor_code string, vendor_name string,"
@@ -203,3 +206,44 @@ def test_stored_exceptions_hold_disjoint_ranks(spark, lake):
     ends = sorted((r["first"], r["last"]) for r in ranges.collect())
     assert len(ends) == 8
     assert all(last < first for (_, last), (first, _) in zip(ends, ends[1:]))
+
+
+def test_published_tables_are_held_against_what_was_written(spark, lake):
+    """The detail is tampered with between its write and the tables made of it."""
+    pipeline.land_frames(
+        lake, {n: rows(spark, "/root/testdata/sf0.001") for n, rows in fixtures.LINES.items()}, "memory"
+    )
+    pipeline.refine(lake)
+    pipeline.publish(lake)
+    detail = lake.read("gold", "recon_detail")
+    exceptions = lake.read("gold", "recon_exceptions")
+    written = gold.as_row(spark, gold.measured(detail).first().asDict())
+
+    def failed(stored, ranked=exceptions):
+        checks = gold.published_controls(written, gold.summary(stored), ranked).collect()
+        assert len(checks) == 12
+        return {c.control for c in checks if c.expected != c.actual}
+
+    assert failed(detail) == set()
+    key = detail.where("break_status = 'MATCHED'").first().invoice_number
+    one = F.col("invoice_number") == key
+    gone = failed(detail.where(~one))
+    assert {"summary keys equal detail keys", "summary keys of MATCHED"} <= gone
+    dearer = detail.withColumn("gl_amount", F.when(one, F.col("gl_amount") + 1).otherwise(F.col("gl_amount")))
+    assert failed(dearer.select(detail.columns)) == {"summary total of gl_amount"}
+    moved = detail.withColumn("break_status", F.when(one, "TIMING_DIFFERENCE").otherwise(F.col("break_status")))
+    assert failed(moved) == {"summary keys of MATCHED", "summary keys of TIMING_DIFFERENCE"}
+    assert failed(detail, exceptions.where("exception_rank <> 3")) == {
+        "exceptions are keys less matched", "ranks run to the number of exceptions",
+    }
+
+
+def test_publishing_stops_when_the_stored_detail_differs(spark, lake, monkeypatch):
+    pipeline.land_frames(
+        lake, {n: rows(spark, "/root/testdata/sf0.001") for n, rows in fixtures.LINES.items()}, "memory"
+    )
+    pipeline.refine(lake)
+    real = gold.summary
+    monkeypatch.setattr(gold, "summary", lambda detail: real(detail.where("break_status <> 'MISSING_FROM_GL'")))
+    with pytest.raises(ControlFailure, match="summary keys of MISSING_FROM_GL"):
+        pipeline.publish(lake)

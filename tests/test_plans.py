@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from tieout.contract import GL, BUSINESS_KEY
-from tieout.operators import annotate, gold, reconcile, reports, uniqueness
+from tieout.operators import annotate, controls, gold, membership, reconcile, refine, reports, uniqueness
 from tieout.plans.workspace import workspace
 
 
@@ -120,11 +120,11 @@ def test_filter_of_many_ids_lets_few_others_through(spark, scratch, bits, slices
     found = uniqueness.joined_where_possible(rows, repeated, 20_000, "gl_entry_id", scratch, bits)
     per_copies = found.groupBy("_copies_gl_entry_id").count().collect()
     assert {r[0]: r["count"] for r in per_copies} == {None: 400_000, 2: 20_000}
-    words = uniqueness.BITS_PER_VALUE * 20_000 // 64 // slices + 1
+    words = membership.words_for(-(-20_000 // slices), bits)
     passed = 0
     for number in range(slices):
         part = F.pmod(F.xxhash64("gl_entry_id", F.lit("slice")), F.lit(slices)) == number
-        own = scratch.keep(uniqueness.filter_rows(repeated.where(part), "gl_entry_id", words), "filter")
+        own = scratch.keep(membership.filter_rows(repeated.where(part), ["gl_entry_id"], words), "filter")
         assert own.select(F.sum(F.size("_words"))).first()[0] < words + 1024
         through, _ = uniqueness.passed_and_joined(
             rows.where(part), repeated.where(part), own, "gl_entry_id", words
@@ -186,6 +186,21 @@ def test_labels_are_broadcast_by_size(w, scratch):
     assert p.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in p
 
 
+def test_metrics_of_the_detail_are_one_scan(w):
+    tables = w.gold("dq_scorecard"), w.gold("dq_rule_scorecard"), w.gold("recon_detail")
+    metrics = controls.observed_metrics(*tables, refine.rejections(w.every("quarantine")))
+    scans = [line for line in plan(metrics, "formatted").splitlines() if "Location" in line]
+    assert sum("recon_detail" in line for line in scans) == 1
+
+
+def test_controls_of_published_tables_do_not_scan_the_detail(w):
+    measured = gold.as_row(w.spark, {f.name: 0 for f in gold.measured(w.gold("recon_detail")).schema})
+    p = plan(
+        gold.published_controls(measured, w.gold("recon_summary"), w.gold("recon_exceptions")), "formatted"
+    )
+    assert "recon_summary" in p and "recon_exceptions" in p and "recon_detail" not in p
+
+
 def test_top_exceptions_push_the_rank(w):
     p = plan(reports.top_exceptions(w.gold("recon_exceptions")), "formatted")
     assert "LessThanOrEqual(exception_rank,25)" in p
@@ -195,6 +210,22 @@ def test_peek_is_a_top_k(w):
     assert "TakeOrderedAndProject" in plan(reports.peek(w.bronze("gl"), "gl_entry_id"))
 
 
+def test_opposite_side_goes_through_a_filter_when_nothing_is_broadcast(spark, w, scratch):
+    """Many rejected keys: only rows of the other side that may hold one are shuffled."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        found = reconcile.opposite_side_rejections(
+            w.quarantine("gl"), w.bronze("ap"), scratch, most_broadcast=-1
+        )
+        p = plan(found)
+    # Down to the other side: join with the keys, exchange, filter, scan.
+    below = p[p.index("Inner") :]
+    scan = below.index("FileScan")
+    assert below.index("Exchange hashpartitioning") < below.index("BroadcastHashJoin") < scan
+    assert "LeftSemi" not in p
+    few = reconcile.opposite_side_rejections(w.quarantine("gl"), w.bronze("ap"), scratch)
+    assert found.collect() == few.collect() and few.first().rejected_rows > 0
+
+
 def test_opposite_side_is_not_shuffled_whole(w, scratch):
     p = plan(reconcile.opposite_side_rejections(w.quarantine("gl"), w.bronze("ap"), scratch))
     assert "LeftSemi, BuildRight" in p

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tieout.contract import DEFAULT, STATUSES, Contract
 from tieout.functions.scores import dq_score
-from tieout.operators.reconcile import edge_cases
+from tieout.operators.reconcile import edge_measures
 
 VALUE = "decimal(24,4)"
 
@@ -145,11 +145,14 @@ def observed_metrics(
         F.col("rows_rejected").cast(VALUE).alias("actual"),
     )
     status = F.col("break_status")
+    # All of the detail's metrics are one aggregate over one scan.
     keys = detail.agg(
         F.count("*").alias("keys"),
         F.count_if(~status.isin(*STATUSES)).alias("unknown"),
         *[F.count_if(status == s).alias(s) for s in STATUSES],
+        *edge_measures(),
     )
+    others = {"keys", "unknown", *STATUSES}
     per_status = melt(
         keys,
         {
@@ -157,6 +160,7 @@ def observed_metrics(
             "business keys": F.col("keys"),
             "keys with a known status": sum((F.col(s) for s in STATUSES), F.lit(0)),
             "unknown statuses": F.col("unknown"),
+            **{f"edge {c}": F.col(c) for c in keys.columns if c not in others},
         },
         "actual",
     )
@@ -165,9 +169,7 @@ def observed_metrics(
         {"quarantined rows without a rule": F.col("n")},
         "actual",
     )
-    found = edge_cases(detail)
-    edges = melt(found, {f"edge {c}": F.col(c) for c in found.columns}, "actual")
-    parts = (per_rule, per_status, unexplained, edges)
+    parts = (per_rule, per_status, unexplained)
     return reduce(DataFrame.unionByName, parts, metrics)
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tieout import schemas
-from tieout.contract import MATCHED, STATUSES
+from tieout.contract import BUSINESS_KEY, MATCHED, STATUSES, TOLERANCE
 from tieout.functions.casts import conform
 from tieout.functions.rows import control_rows, side_by_side
 from tieout.operators.rank import global_rank
+from tieout.operators.reconcile import recon_measures
 from tieout.session import together
 from tieout.sources.lakehouse import Scratch
 
@@ -132,3 +136,65 @@ def gold_controls(detail: DataFrame, summary: DataFrame, exceptions: DataFrame)
             ),
         },
     )
+
+
+CENTS = 100
+TOTALS = ("gl_amount", "ap_amount", "abs_amount_difference")
+
+
+def measures(key: Sequence[str] = BUSINESS_KEY, tolerance: Decimal = TOLERANCE) -> list[Column]:
+    """Aggregates over the detail, observed while it is written and compared later."""
+    zero = F.lit(0)
+    sums = [F.sum(F.coalesce(c, zero)).alias(f"total_{c}") for c in TOTALS]
+    return [*recon_measures(key, tolerance), *sums]
+
+
+def measured(detail: DataFrame) -> DataFrame:
+    """The same in a pass of its own; `pipeline.publish` observes them."""
+    return detail.agg(*measures())
+
+
+def as_row(spark: SparkSession, observed: Mapping[str, object]) -> DataFrame:
+    """Observed aggregates as a frame of one row; NULL totals of an empty table are zeros."""
+    types = ", ".join(
+        f"`{name}` {schemas.TOTAL.simpleString() if name.startswith('total_') else 'bigint'}"
+        for name in observed
+    )
+    values = [Decimal(v or 0) if n.startswith("total_") else v or 0 for n, v in observed.items()]
+    return spark.createDataFrame([tuple(values)], types)
+
+
+def published_controls(measured: DataFrame, summary: DataFrame, exceptions: DataFrame) -> DataFrame:
+    """(control, expected, actual): what was written to the detail against what was made of it.
+
+    The summary is an aggregate of the stored detail, so a detail that lost or changed
+    rows on the way to storage gives other counts or totals than were observed. The two
+    other tables are read as stored, one column of the exceptions.
+    """
+    status = F.col("break_status")
+    from_summary = summary.agg(
+        *[
+            F.coalesce(F.sum(F.when(status == s, F.col("key_count"))), F.lit(0)).alias(f"summary_{s}")
+            for s in STATUSES
+        ],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"summary_{c}") for c in TOTALS],
+    )
+    from_exceptions = exceptions.agg(
+        F.count("*").alias("exception_rows"),
+        F.coalesce(F.max("exception_rank"), F.lit(0)).alias("last_rank"),
+    )
+    rows = side_by_side(measured, from_summary, from_exceptions)
+    summary_keys = sum((F.col(f"summary_{s}") for s in STATUSES), F.lit(0))
+    return control_rows(
+        rows,
+        {
+            "summary keys equal detail keys": (F.col("n"), summary_keys),
+            **{f"summary keys of {s}": (F.col(s), F.col(f"summary_{s}")) for s in STATUSES},
+            **{
+                f"summary total of {c}": (F.col(f"total_{c}") * CENTS, F.col(f"summary_{c}") * CENTS)
+                for c in TOTALS
+            },
+            "exceptions are keys less matched": (F.col("unmatched"), F.col("exception_rows")),
+            "ranks run to the number of exceptions": (F.col("exception_rows"), F.col("last_rank")),
+        },
+    )

@@ -24,6 +24,7 @@ from tieout.contract import (
 )
 from tieout.functions import periods
 from tieout.functions.rows import control_rows
+from tieout.operators.membership import MOST_BROADCAST, filter_rows, parted, words_for
 from tieout.sources.lakehouse import Scratch
 
 
@@ -180,22 +181,26 @@ def status_counts(recon: DataFrame) -> DataFrame:
     )
 
 
-def recon_controls(
-    recon: DataFrame, key: Sequence[str] = BUSINESS_KEY, tolerance: Decimal = TOLERANCE
-) -> DataFrame:
-    """(control, expected, actual): whole keys, one status each, tolerance kept."""
+def recon_measures(
+    key: Sequence[str] = BUSINESS_KEY, tolerance: Decimal = TOLERANCE
+) -> list[Column]:
+    """Aggregates over the detail that its controls compare."""
     status = F.col("break_status")
     key_lost = F.lit(False)
     for column in key:
         key_lost = key_lost | F.col(column).isNull()
     beyond = F.col("abs_amount_difference") > F.lit(Decimal(tolerance)).cast(schemas.MONEY)
-    measured = recon.agg(
+    return [
         F.count("*").alias("n"),
         F.count_if(key_lost).alias("key_lost"),
         *[F.count_if(status == s).alias(s) for s in STATUSES],
         F.count_if(status != MATCHED).alias("unmatched"),
         F.count_if((status == MATCHED) & beyond).alias("beyond"),
-    )
+    ]
+
+
+def measured_controls(measured: DataFrame) -> DataFrame:
+    """(control, expected, actual) of one row of `recon_measures`."""
     classified = sum((F.col(s) for s in STATUSES), F.lit(0))
     return control_rows(
         measured,
@@ -208,38 +213,59 @@ def recon_controls(
     )
 
 
-def edge_cases(detail: DataFrame) -> DataFrame:
-    """Populations that only a right ladder puts in the right place."""
+def recon_controls(
+    recon: DataFrame, key: Sequence[str] = BUSINESS_KEY, tolerance: Decimal = TOLERANCE
+) -> DataFrame:
+    """(control, expected, actual): whole keys, one status each, tolerance kept."""
+    return measured_controls(recon.agg(*recon_measures(key, tolerance)))
+
+
+def edge_measures() -> list[Column]:
+    """Sizes of populations that only a right ladder puts in the right place."""
     status = F.col("break_status")
     shifted = F.col("gl_fiscal_period") != F.col("ap_fiscal_period")
     honest = F.col("ap_amount") == F.col("gl_amount") * F.col("ap_row_count")
     duplicate = status == DUPLICATE_IN_SUBLEDGER
-    return detail.agg(
-        F.count_if((status == MATCHED) & (F.col("abs_amount_difference") > 0)).alias(
-            "matched_within_tolerance"
-        ),
-        F.count_if((status == AMOUNT_MISMATCH) & shifted).alias("mismatch_with_period_shift"),
-        F.count_if(duplicate & (F.col("ap_row_count") == 3)).alias("duplicate_triplets"),
-        F.count_if(duplicate & ~honest).alias("duplicate_unequal_amounts"),
-        F.count_if((status == MATCHED) & (F.col("abs_amount_difference") > TOLERANCE)).alias(
-            "matched_beyond_tolerance"
-        ),
-    )
+    difference = F.col("abs_amount_difference")
+    counted = {
+        "matched_within_tolerance": (status == MATCHED) & (difference > 0),
+        "mismatch_with_period_shift": (status == AMOUNT_MISMATCH) & shifted,
+        "duplicate_triplets": duplicate & (F.col("ap_row_count") == 3),
+        "duplicate_unequal_amounts": duplicate & ~honest,
+        "matched_beyond_tolerance": (status == MATCHED) & (difference > TOLERANCE),
+    }
+    return [F.count_if(held).alias(population) for population, held in counted.items()]
+
+
+def edge_cases(detail: DataFrame) -> DataFrame:
+    return detail.agg(*edge_measures())
 
 
 def opposite_side_rejections(
-    rejected: DataFrame, opposite: DataFrame, scratch: Scratch, key: Sequence[str] = BUSINESS_KEY
+    rejected: DataFrame,
+    opposite: DataFrame,
+    scratch: Scratch,
+    key: Sequence[str] = BUSINESS_KEY,
+    most_broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
     """One row: rejected rows in all, and those whose key the other side holds.
 
     Rejected rows are counted per key first, so a key with very many of them is
     one row. That lookup is written: while small it is broadcast to the scan of
-    the other side, which then is not shuffled at all.
+    the other side, which then is not shuffled at all. Beyond that rows of the
+    other side first go through a filter of the rejected keys, so that few are.
     """
     key = list(key)
     counted = rejected.groupBy(*key).agg(F.count("*").alias("n"))
     per_key = scratch.keep(counted, "rejected-keys")
-    held = opposite.select(*key).join(per_key.select(*key), key, "left_semi").distinct()
+    candidates, how, n_keys = opposite.select(*key), "left_semi", per_key.count()
+    if n_keys > most_broadcast:
+        words = words_for(n_keys)
+        filter_ = scratch.keep(filter_rows(per_key, key, words), "filter-rejected-keys")
+        candidates, _ = parted(candidates, filter_, key, words)
+        # A semi join would be pushed below the filter. Keys are unique, so this is the same.
+        how = "inner"
+    held = candidates.join(per_key.select(*key), key, how).distinct()
     return per_key.join(held.withColumn("held", F.lit(True)), key, "left").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rejected_rows"),
         F.coalesce(F.sum(F.when(F.col("held"), F.col("n"))), F.lit(0)).alias(

@@ -9,9 +9,7 @@ may repeat are joined with it: a filter of the repeated values is broadcast, and
 that it does not let through go past the join and are never shuffled. It misses none
 and lets through less than 1% of the others, however many values repeat:
 
-* A value sets and looks up BITS_PER_VALUE / 4 bits of one 64-bit word, both picked by hash,
-  and there are BITS_PER_VALUE places for each repeated value. Words are kept 1,024 to a
-  row, so the filter takes 2 bytes a value.
+* The filter (see `membership`) grows with the number of repeated values.
 * It has at most 2**MOST_BITS places, 256 MB for 134 million repeated values. Beyond that
   values are dealt to slices by hash, each with a filter of its own, and the rows of a
   slice meet that one alone. The input is then read twice per slice.
@@ -22,21 +20,21 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tieout.contract import Rule
 from tieout.functions.predicates import blank, copies_column, name
+from tieout.operators.membership import (
+    BITS_PER_VALUE,
+    MOST_BITS,
+    MOST_BROADCAST,
+    filter_rows,
+    parted,
+    words_for,
+)
 from tieout.sources.lakehouse import Scratch
 
-MOST_BROADCAST = 200_000  # rows of a broadcast table of repeated values
-BITS_PER_VALUE = 16
-BITS_SET = 4
-MOST_BITS = 31
-WORD_BITS = 6
-ROW_BITS = 10  # words of a row of the filter
-
-
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
     """Non-blank values held by more than one row, with their number of rows."""
     return (
@@ -73,7 +71,7 @@ def joined_where_possible(
 ) -> DataFrame:
     """df left-joined with repeated, shuffling only rows that may have a match."""
     slices = max(1, -(-values * BITS_PER_VALUE // (1 << bits)))
-    words = max(1, -(-values * BITS_PER_VALUE // (slices << WORD_BITS)))
+    words = words_for(-(-values // slices), bits)
     part = F.pmod(F.xxhash64(name(column), F.lit("slice")), F.lit(slices))
     found = []
     for number in range(slices):
@@ -81,50 +79,15 @@ def joined_where_possible(
         if slices > 1:
             # A NULL belongs to a slice, too: its hash is that of the rest.
             rows, values_of = df.where(part == number), repeated.where(part == number)
-        words_of = scratch.keep(filter_rows(values_of, column, words), f"filter-{column}")
+        words_of = scratch.keep(filter_rows(values_of, [column], words), f"filter-{column}")
         found += passed_and_joined(rows, values_of, words_of, column, words)
     return reduce(DataFrame.unionByName, found)
 
 
-def word_of(column: str, words: int) -> Column:
-    return F.pmod(F.xxhash64(name(column)), F.lit(words))
-
-
-def mask_of(column: str) -> Column:
-    """The bits of a value in its word."""
-    picked = F.xxhash64(name(column), F.lit("bits"))
-    places = [
-        F.pmod(F.shiftright(picked, WORD_BITS * i), F.lit(1 << WORD_BITS)).cast("int")
-        for i in range(BITS_SET)
-    ]
-    return reduce(Column.bitwiseOR, [F.call_function("shiftleft", F.lit(1).cast("bigint"), p) for p in places])
-
-
-def filter_rows(repeated: DataFrame, column: str, words: int) -> DataFrame:
-    """(_row, _words): 2**ROW_BITS words to a row, none left out."""
-    set_words = repeated.select(word_of(column, words).alias("_word"), mask_of(column).alias("_bits"))
-    every = repeated.sparkSession.range(words + (-words) % (1 << ROW_BITS))
-    empty = every.select(F.col("id").alias("_word"), F.lit(0).cast("bigint").alias("_bits"))
-    merged = set_words.unionByName(empty).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
-    in_order = F.array_sort(F.collect_list(F.struct("_word", "_bits")))
-    return (
-        merged.groupBy(F.shiftright("_word", ROW_BITS).alias("_row"))
-        .agg(in_order.alias("_words"))
-        .select("_row", F.col("_words._bits").alias("_words"))
-    )
-
-
 def passed_and_joined(
     df: DataFrame, repeated: DataFrame, filter_: DataFrame, column: str, words: int
 ) -> list[DataFrame]:
     """The rows that the filter lets through, joined, and all others as they are."""
-    word = word_of(column, words)
-    held = F.get("_words", F.pmod(word, F.lit(1 << ROW_BITS)).cast("int"))
-    marked = df.withColumn("_row", F.shiftright(word, ROW_BITS)).join(F.broadcast(filter_), "_row", "left")
-    may_repeat = held.bitwiseAND(mask_of(column)) == mask_of(column)
-    columns = [name(c) for c in df.columns]
-    candidates = marked.where(may_repeat).select(*columns).join(repeated, column, "left")
-    others = marked.where(~may_repeat).select(
-        *columns, F.lit(None).cast("bigint").alias(copies_column(column))
-    )
-    return [candidates, others]
+    candidates, others = parted(df, filter_, [column], words)
+    none = F.lit(None).cast("bigint").alias(copies_column(column))
+    return [candidates.join(repeated, column, "left"), others.select("*", none)]

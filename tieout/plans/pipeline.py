@@ -2,7 +2,8 @@
 
 Tables are replaced only after the controls of a job held.
 
-Counts that decide whether a job succeeded are read back from storage.
+Counts that decide whether a job succeeded are read back from storage, or observed in
+the tasks that write and held against what is read back.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from tieout.contract import DEFAULT, Contract
 from tieout.operators import gold, scorecard
 from tieout.operators.annotate import annotate, clean, rejected
 from tieout.operators.controls import ControlFailure, require
-from tieout.operators.reconcile import recon_controls, reconcile
+from tieout.operators.reconcile import measured_controls, reconcile
 from tieout.operators.refine import conservation, losses, to_quarantine, with_types
 from tieout.session import together
 from tieout.sources.extracts import (
@@ -160,7 +161,8 @@ def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     """Silver to the three reconciliation tables.
 
     The detail is stored once and everything after reads it. It is laid out by
-    status, so that the exceptions skip the matched keys.
+    status, so that the exceptions skip the matched keys. What its controls need is
+    observed while it is written and held against the tables made of what was stored.
     """
     contract.validate()
     lake.create_layers()
@@ -174,26 +176,28 @@ def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
             contract.precedence,
             contract.checks_periods,
         )
-        # Rebalanced, or every task would write a file per status.
+        # Rebalanced, or every task would write a file per status. Counted after that, in
+        # the tasks that write, which count once each even if executors are lost.
+        observed = Observation("recon-detail")
         detail = stage.write(
-            gold.detail(recon).hint("rebalance", "break_status"),
+            gold.detail(recon)
+            .hint("rebalance", "break_status")
+            .observe(observed, *gold.measures(contract.business_key, contract.tolerance)),
             "gold",
             "recon_detail",
             partition_by=["break_status"],
         )
+        measured = gold.as_row(stage.spark, observed.get)
+        require(measured_controls(measured), "reconciliation")
 
         def rank() -> DataFrame:
             ranked = gold.exceptions(detail, silver["gl"], silver["ap"], stage.scratch())
             return stage.write(ranked, "gold", "recon_exceptions")
 
-        _, summary, exceptions = together(
-            lambda: require(
-                recon_controls(detail, contract.business_key, contract.tolerance), "reconciliation"
-            ),
-            lambda: stage.write(gold.summary(detail), "gold", "recon_summary"),
-            rank,
+        summary, exceptions = together(
+            lambda: stage.write(gold.summary(detail), "gold", "recon_summary"), rank
         )
-        require(gold.gold_controls(detail, summary, exceptions), "gold")
+        require(gold.published_controls(measured, summary, exceptions), "gold")
 
 
 def score(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
