@@ -28,6 +28,71 @@ def test_held_out_accuracy(spark):
     assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.01
 
 
+def test_risk_descends_as_a_plain_loop_does():
+    """The same steps, one text and one feature at a time."""
+    texts = [{0, 1}, {0}, {1, 2}, {2}, {0, 2}, set(), {1}]
+    positive = np.array([True, True, False, False, False, False, True])
+    rows = np.array([i for i, t in enumerate(texts) for _ in t])
+    cols = np.array([f for t in texts for f in sorted(t)])
+    for prior in (0.05, 0.4, 0.9):
+        w, b = [0.0] * 3, float(np.log(prior / (1 - prior)))
+        m, v = [0.0] * 4, [0.0] * 4
+        n_pos, n_unl = 3, 4
+        for step in range(1, toxicity.STEPS + 1):
+            g = [b + sum(w[f] for f in t) for t in texts]
+            p = [1 / (1 + np.exp(-x)) for x in g]
+            clean = [np.log(1 + np.exp(x)) for x in g]
+            of_pos = sum(c for c, y in zip(clean, positive) if y) / n_pos
+            risk = sum(c for c, y in zip(clean, positive) if not y) / n_unl - prior * of_pos
+            by_g = []
+            for x, y in zip(p, positive):
+                as_clean = -prior * x / n_pos if y else x / n_unl
+                as_toxic = prior * (x - 1) / n_pos if y else 0.0
+                by_g.append(as_toxic + as_clean if risk >= 0 else -as_clean)
+            grad = [sum(d for d, t in zip(by_g, texts) if f in t) + toxicity.DECAY * w[f] for f in range(3)]
+            for k, d in enumerate([*grad, sum(by_g)]):
+                m[k] = 0.9 * m[k] + 0.1 * d
+                v[k] = 0.999 * v[k] + 0.001 * d * d
+                move = toxicity.RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+                if k < 3:
+                    w[k] -= move
+                else:
+                    b -= move
+        got, bias = toxicity.nn_pu(rows, cols, 7, 3, positive, prior)
+        assert np.allclose([*got, bias], [*w, b], rtol=1e-6, atol=1e-6)
+
+
+@pytest.mark.parametrize("share", [0.02, 0.1, 0.6])
+def test_any_share_of_toxic_texts(spark, share):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    rows, known = [], []
+    for i in range(3000):
+        toxic = rng.random() < share
+        text = rng.choices(words, k=25) + rng.choices(["vile", "grim", "foul"] if toxic else words, k=4)
+        rows.append((i, " ".join(text)))
+        known.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame(known, "doc_id long, toxic int")
+    found = toxicity.scored(docs, toxicity.fit(docs, labels)).select("doc_id", "score").collect()
+    right = {i: [] for i in (0, 1)}
+    for r in found:
+        toxic = known[r.doc_id][1]
+        right[toxic].append((r.score >= 0.5) == bool(toxic))
+    assert np.mean(right[0]) > 0.97 and np.mean(right[1]) > 0.9
+
+
+def test_priors_are_parameters(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7}") for i in range(60)], DOCS)
+    one_kind = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id long, toxic int")
+    for prior in (0.2, 0.7):
+        texts = toxicity.training_rows(docs, one_kind, 10, 10, None, prior)
+        assert texts[1] == prior
+        assert toxicity.training_rows(docs, one_kind, 10, 10, prior, 0.1)[1] == prior
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        toxicity.fit(docs, one_kind, prior=1.0)
+
+
 def test_labels_of_held_out_documents_change_nothing(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
@@ -244,6 +309,37 @@ def test_prose_is_left_alone():
         assert pii.spans_of(text) == []
 
 
+SITES = ("example.com", "www.example.org", "www.example.com/page", "news.site.de", "shop.fr/x", "github.io")
+STARTS = (
+    "It is available at {}.", "Look at {} for more.", "Read it at {} today", "We met at {} once.",
+    "The code is hosted at {}, free of charge.", "See the list at {} (new).", "Visit us at {}!",
+    "Prices at {} fell.", "More at {}", "They work at {} now.",
+)
+
+
+def test_sites_in_prose_are_no_addresses():
+    sentences = [s.format(site) for s in STARTS for site in SITES]
+    assert len(sentences) >= 50
+    for text in sentences:
+        assert pii.spans_of(text) == [], text
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Please contact jane at example.com today",
+        "e-mail jane at example.com",
+        "Mail: jane at corp.example.org, thanks",
+        "You can reach jane.doe at example.de",
+        "ask jane at corp dot example.org now",
+        "She left (jane at example.com) a note",
+    ],
+)
+def test_announced_addresses(text):
+    found = [s for s in pii.spans_of(text) if s["added"]]
+    assert [s["kind"] for s in found] == ["email"] and found[0]["value"].startswith("jane")
+
+
 def test_long_and_odd_texts(spark):
     texts = ["a" * 300_000, "1" * 300_000, "+1 " * 100_000, "one " * 60_000, " " * 200_000 + "dot ", "@" * 100_000,
              "a.b-" * 50_000 + "@", None, "", "１" * 50_000 + "@"]

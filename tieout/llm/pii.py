@@ -113,6 +113,7 @@ DIGITS = {c: str(int(c)) for c in map(chr, range(0x80, 0x20000)) if c.isdecimal(
 INVISIBLE = "­​‌‍⁠﻿"
 REPLACED = {**LOOKALIKES, **FULL_WIDTH, **DIGITS, **dict.fromkeys(INVISIBLE, "")}
 ANY_REPLACED = re.compile("[" + re.escape("".join(REPLACED)) + "]")
+ALL_REPLACED = frozenset(REPLACED)
 LETTERS = frozenset(c for c, put in LOOKALIKES.items() if put.isalpha())
 NON_SPACE = re.compile(r"\S+")
 ASCII_SIGN = re.compile("[A-Za-z0-9@+.-]")
@@ -161,13 +162,21 @@ ENDS_AFTER_ARTICLE = (
 # Longest first; "example" is reserved for texts like these.
 _END = "(?:" + "|".join(sorted({*TOP_LEVEL, "example"}, key=lambda t: (-len(t), t))) + ")(?![A-Za-z0-9])"
 _PROSE = rf"the\x20dot\x20(?!(?:{ENDS_AFTER_ARTICLE})(?![A-Za-z0-9]))"
-_DOT = r"(?:\x20dot\x20|\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\.)"
+_DISGUISED_DOT = r"(?:\x20dot\x20|\x20?[\[({]\x20?dot\x20?[\])}]\x20?)"
+_DOT = rf"(?:{_DISGUISED_DOT}|\.)"
+DISGUISED_DOT = re.compile(_DISGUISED_DOT, re.I)
+# What announces an address: a bare "at" before a plain domain is prose without it.
+ANNOUNCED = re.compile(r"\b(?:e-?mails?|mailto|contact|write|reach|kontakt|correo|courriel)\b|:", re.I)
+ANNOUNCED_WITHIN = 48
+LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+OPENED = frozenset("([{<\"'\n")
+CLOSED = re.compile(r"[.,;]?(?:\Z|[\])}>\"'\n])")
 # Bracketed or written-out signs; bare words only where the end of a domain follows.
 AT_OR_DOT = re.compile(
     r"\x20{0,2}(?:[\[({<]\x20?(?P<at>at|@|arroba)\x20?[\])}>]|&\#64;|&commat;)\x20{0,2}"
     r"|\x20{0,2}(?:[\[({<]\x20?(?P<dot>dot|punto|punkt|point|\.)\x20?[\])}>]|&\#46;|&period;)\x20{0,2}"
     r"|(?<=[A-Za-z0-9])\x20(?P<bare_at>at)\x20"
-    rf"(?!{_PROSE})(?=[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+){{0,3}}{_DOT}{_END})"
+    rf"(?!{_PROSE})(?=(?P<domain>[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+){{0,3}}{_DOT}{_END}(?!/)))"
     r"|(?<=[A-Za-z0-9])\x20(?P<bare_dot>dot)\x20"
     rf"(?=(?:[A-Za-z0-9-]+{_DOT}){{0,3}}{_END})",
     re.I,
@@ -221,7 +230,7 @@ def lookalikes(r: Rewritten) -> None:
     Digits and signs are rewritten whatever their word holds, invisible characters
     in words that have either.
     """
-    if r.text.isascii() or not ANY_REPLACED.search(r.text):
+    if r.text.isascii() or ALL_REPLACED.isdisjoint(r.text):
         return
     edits = []
     for word in NON_SPACE.finditer(r.text):
@@ -255,14 +264,30 @@ def spelled_digits(r: Rewritten) -> None:
     r.replace(edits)
 
 
+def is_address(text: str, at: re.Match) -> bool:
+    """Whether a bare "at" makes an address: by its dots, what comes before, or standing alone."""
+    if DISGUISED_DOT.search(at["domain"]):
+        return True
+    start = at.start()
+    if ANNOUNCED.search(text, max(0, start - ANNOUNCED_WITHIN), start):
+        return True
+    first = start
+    while first and start - first < ANNOUNCED_WITHIN and text[first - 1] in LOCAL:
+        first -= 1
+    opened = not first or text[first - 1] in OPENED
+    # A capital begins a sentence: "More at example.com".
+    return opened and not text[first].isupper() and CLOSED.match(text, at.end("domain")) is not None
+
+
 def at_and_dot(r: Rewritten) -> None:
     if not MAY_BE_SIGN.search(r.text):
         return
     edits = {}
     for m in AT_OR_DOT.finditer(r.text):
-        named = m.lastgroup
+        if m["bare_at"] and not is_address(r.text, m):
+            continue
         sign = m.group().strip().lower()
-        is_at = named in ("at", "bare_at") or sign in ("&#64;", "&commat;")
+        is_at = m["at"] or m["bare_at"] or sign in ("&#64;", "&commat;")
         edits[m.span()] = "@" if is_at else "."
     for run in FOUR_GROUPS.finditer(r.text):
         if all(len(g) <= 3 and int(g) <= 255 for g in GROUP.findall(run.group())):
