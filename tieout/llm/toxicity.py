@@ -12,13 +12,17 @@ Linear classifiers over words and beginnings of words, their logistic loss
 minimised with numpy, are trained in Spark tasks, each on the training rows
 without one fold, and averaged. Training rows are a sample bounded by the
 parameters MOST_POSITIVE and MOST_UNLABELLED, drawn by hash; everything else
-covers all rows. The model holds MOST_FEATURES weights per classifier, so it is
-small enough to broadcast. Scoring is one pass without a shuffle.
+covers all rows. Features are those of the sample whose share in toxic and unlabelled
+texts differs by more than chance, so the sample bounds the model, which is
+broadcast. Scoring is one pass without a shuffle.
 
 Defined cases: a NULL text is an empty one; it scores by the bias alone. A
 document labelled twice is toxic if one label says so; NULL labels and labels of
 unknown documents count for nothing. Without any confirmed toxic text every
-score is the prior. Rows with a NULL id have no label and are not held out.
+score is the prior. Rows with a NULL id have no label and are not held out. Very long
+texts are scored whole; equal texts score the same and are fitted on once. A score of 0.5
+counts as toxic. An empty table gives no rows. A column `score` of the caller is replaced
+by `scored`; `without_toxic` returns all columns as they came.
 """
 
 from __future__ import annotations
@@ -36,7 +40,6 @@ from tieout.llm.common import draw, one_row, table
 
 MOST_POSITIVE = 4_000
 MOST_UNLABELLED = 8_000
-MOST_FEATURES = 4_096
 CLASSIFIERS = 3
 PRIOR = 0.1
 FOLDS = 5
@@ -76,25 +79,16 @@ def telling_features(texts: list[bytes]) -> dict[bytes, int]:
     return {f: i for i, f in enumerate(sorted(f for f, n in counts.items() if n >= LEAST_POSITIVES))}
 
 
-def pick_features(in_pos: np.ndarray, n_pos: int, in_unl: np.ndarray, n_unl: int, prior: float, most: int):
-    """Features likelier in toxic than in clean text, the most telling first.
+def pick_features(in_pos: np.ndarray, n_pos: int, in_unl: np.ndarray, n_unl: int) -> np.ndarray:
+    """All features whose share differs between positives and unlabelled texts.
 
-    Their frequency in clean text is what is left of the unlabelled frequency
-    once the toxic share is taken out. A feature must be likelier among positives
-    than chance would make one of all features tried, so that rare words of a few texts
-    are not learnt; how much it tells at the given prior, the risk weighs.
+    The difference must be larger than chance would make that of one of all features
+    tried, so that rare words of a few texts are not learnt. Whether a feature speaks for
+    toxic or clean text, and how much it tells at the given prior, the risk weighs.
     """
-    toxic = in_pos / n_pos
-    clean = np.maximum(in_unl / n_unl - prior * toxic, 0.0) / (1 - prior)
-    ratio = (toxic + 0.5 / n_pos) / (clean + 2.0 / n_unl)
     by_chance = 2 * np.log(max(len(in_pos), 2))
-    chosen = [
-        i
-        for i in np.flatnonzero(ratio > 1)
-        if likelihood_ratio(in_pos[i], n_pos, in_unl[i], n_unl) > by_chance
-    ]
-    score = in_pos * np.log(ratio)
-    return np.array(sorted(chosen, key=lambda i: (-score[i], i))[:most], dtype=np.int64)
+    gains = [likelihood_ratio(a, n_pos, b, n_unl) for a, b in zip(in_pos.tolist(), in_unl.tolist())]
+    return np.flatnonzero(np.array(gains) > by_chance)
 
 
 def likelihood_ratio(a: int, n: int, b: int, m: int) -> float:
@@ -131,7 +125,7 @@ def nn_pu(rows, cols, n_rows: int, n_cols: int, positive: np.ndarray, prior: flo
     return w, b
 
 
-def train(texts: list[bytes], positive: np.ndarray, prior: float, most: int) -> dict[bytes, float]:
+def train(texts: list[bytes], positive: np.ndarray, prior: float) -> dict[bytes, float]:
     """Weight by feature, the bias under BIAS."""
     if not positive.any() or positive.all():
         return {BIAS: float(np.log(prior / (1 - prior)))}
@@ -142,7 +136,7 @@ def train(texts: list[bytes], positive: np.ndarray, prior: float, most: int) ->
     in_pos = np.bincount(cols[positive[rows]], minlength=len(number))
     in_unl = np.bincount(cols[~positive[rows]], minlength=len(number))
     n_pos = int(positive.sum())
-    best = pick_features(in_pos, n_pos, in_unl, len(texts) - n_pos, prior, most)
+    best = pick_features(in_pos, n_pos, in_unl, len(texts) - n_pos)
     place = np.full(len(number), -1)
     place[best] = np.arange(len(best))
     used = place[cols] >= 0
@@ -155,7 +149,12 @@ def train(texts: list[bytes], positive: np.ndarray, prior: float, most: int) ->
 
 
 def training_rows(
-    docs: DataFrame, labels: DataFrame, most_positive: int, most_unlabelled: int
+    docs: DataFrame,
+    labels: DataFrame,
+    most_positive: int,
+    most_unlabelled: int,
+    prior: float | None,
+    prior_unknown: float,
 ) -> tuple[DataFrame, float]:
     """(text, positive, fold) of a bounded sample without held-out rows, and the prior."""
     texts = docs.select(
@@ -167,9 +166,10 @@ def training_rows(
         .agg(F.max("toxic").alias("toxic"))
     )
     counts = one_row(known.agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("t")))
-    # Where only positives are labelled, their share says nothing.
-    estimable = 0 < counts["t"] < counts["n"]
-    prior = min(max(counts["t"] / counts["n"], 0.001), 0.5) if estimable else PRIOR
+    if prior is None:
+        # Where only one kind is labelled, its share says nothing.
+        estimable = 0 < counts["t"] < counts["n"]
+        prior = counts["t"] / counts["n"] if estimable else prior_unknown
     # At most about most_positive ids: small enough to broadcast, whatever the input.
     toxic = known.where("toxic = 1").where(
         draw(F.lit("positive"), F.col("doc_id")) < most_positive / max(counts["t"], 1)
@@ -200,10 +200,21 @@ def fit(
     labels: DataFrame,
     most_positive: int = MOST_POSITIVE,
     most_unlabelled: int = MOST_UNLABELLED,
-    most_features: int = MOST_FEATURES,
+    prior: float | None = None,
+    prior_unknown: float = PRIOR,
 ) -> dict[bytes, float]:
-    """The averaged classifier: weight by feature."""
-    rows, prior = training_rows(docs, labels, most_positive, most_unlabelled)
+    """The averaged classifier: weight by feature.
+
+    `prior` is the share of toxic texts, between 0 and 1, both exclusive. By default it is
+    that of the labels (without held-out rows), or `prior_unknown` where they are all of
+    one kind and so tell nothing of it. A hash sample of about `most_positive` and
+    `most_unlabelled` texts is fitted on: the variance of the risk falls with their numbers,
+    its mean does not depend on them.
+    """
+    for given in (prior, prior_unknown):
+        if given is not None and not 0 < given < 1:
+            raise ValueError("a prior lies between 0 and 1")
+    rows, prior = training_rows(docs, labels, most_positive, most_unlabelled, prior, prior_unknown)
     others = F.filter(
         F.sequence(F.lit(0), F.lit(CLASSIFIERS - 1)), lambda k: k != F.col("fold").cast("int")
     )
@@ -211,14 +222,14 @@ def fit(
     def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["text", "positive"])
         positive = pdf["positive"].to_numpy(dtype=bool)
-        model = train([bytes(t) for t in pdf["text"]], positive, prior, most_features)
+        model = train([bytes(t) for t in pdf["text"]], positive, prior)
         return pd.DataFrame({"feature": list(model), "weight": list(model.values())})
 
     weights = (
         rows.withColumn("classifier", F.explode(others))
         .groupBy("classifier")
         .applyInPandas(fit_one, "feature binary, weight double")
-        .collect()  # at most CLASSIFIERS * (MOST_FEATURES + 1) rows
+        .collect()  # features of the bounded sample that pass the test
     )
     trained = sum(bytes(r["feature"]) == BIAS for r in weights)
     model: dict[bytes, float] = {BIAS: 0.0 if trained else float(np.log(prior / (1 - prior)))}
@@ -244,10 +255,10 @@ def scored(docs: DataFrame, model: dict[bytes, float], text_col: str = "text") -
     return docs.withColumn("score", score(F.col(text_col).cast("binary")))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below the threshold."""
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **settings) -> DataFrame:
+    """The documents that score below the threshold; `settings` go to `fit`."""
     rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    model = fit(docs, labels)
+    model = fit(docs, labels, **settings)
     return scored(rows, model).where(F.col("score") < threshold).select("row.*")
 
 
