@@ -23,8 +23,8 @@ one class already, so classes are the components of all verified links. Buckets
 settled in a step take no part in the next. Comparisons are exact, over whole
 texts. Classes are joined as components of stored edges.
 
-Defined cases: a text without words (NULL, empty, only signs) is a class of its
-own. Equal texts are one class. Rows that share an id need not share a class. The
+Defined cases: a NULL or empty text is a class of its own. Equal texts are one class,
+those of signs alone, which have no shingles, by their digest. Rows that share an id need not share a class. The
 class id is the least id in the class, NULL ids coming last; one row of a class,
 the first by (id, row), is kept. An empty table gives no rows.
 """
@@ -319,7 +319,7 @@ def classes(
         docs.select(
             F.monotonically_increasing_id().alias("node"),
             F.struct("*").alias("row"),
-            F.md5(text).alias("same"),
+            F.when(F.octet_length(text) > 0, F.md5(text)).alias("same"),
             F.arrow_udf(sign, "array<bigint>")(text).alias("bands"),
         ),
         "signed",
@@ -329,7 +329,7 @@ def classes(
     doc_id = F.col(f"row.{id_col}")
     order = F.struct(doc_id.isNull().alias("last"), doc_id.alias("id"), F.col("node"))
     texts = scratch.keep(
-        worded.groupBy("same").agg(F.min("node").alias("node"), F.min(order).alias("first")), "texts"
+        signed.where("same IS NOT NULL").groupBy("same").agg(F.min("node").alias("node"), F.min(order).alias("first")), "texts"
     )
     nodes = worded.select("node", "bands").join(texts.select("node"), "node")
     in_bands = scratch.keep(nodes.select("node", F.explode("bands").alias("bucket")), "bands")
@@ -355,7 +355,7 @@ def classes(
         ),
         "classes",
     )
-    found = signed.select("node", "row", F.when(F.col("bands").isNotNull(), F.col("same")).alias("same"))
+    found = signed.select("node", "row", "same")
     return found.join(by_text, "same", "left").select(
         "row",
         F.when(F.col("kept_node").isNull(), doc_id).otherwise(F.col("class_id")).alias("class_id"),
