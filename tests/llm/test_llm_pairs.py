@@ -143,6 +143,15 @@ def test_repeated_ids_nulls_and_nothing(spark):
     assert near_dup.classes(docs.limit(0)).count() == 0
 
 
+def test_equal_texts_of_signs_are_one_class(spark):
+    rows = [(1, "*** --- ***"), (2, "*** --- ***"), (3, "*** -- ***"), (4, " "), (5, " "), (6, "")]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: (r.class_id, r.kept) for r in near_dup.classes(docs).select("row.doc_id", "class_id", "kept").collect()}
+    assert got == {
+        1: (1, True), 2: (1, False), 3: (3, True), 4: (4, True), 5: (4, False), 6: (6, True),
+    }
+
+
 def test_a_link_that_misses_the_center_is_found(spark, scratch):
     """In one bucket, a chain whose far end is not like the least node."""
     words = [f"w{i}" for i in range(200)]
@@ -231,6 +240,41 @@ def test_vectors_of_doubles_repeated_ids_and_none(spark):
     assert tuple(embedding_dup.linked_vectors(nothing).first()) == (1, 0, 1)
 
 
+@pytest.mark.parametrize("block", [64, 512])
+def test_blocks_far_apart_are_not_visited(spark, scratch, block):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(400, 32))
+    vectors = np.repeat(base, 20, axis=0) + 0.02 * rng.normal(size=(8000, 32))
+    rows = [(i, 1, v.tolist(), "32") for i, v in enumerate(vectors[rng.permutation(8000)])]
+    nodes = scratch.keep(spark.createDataFrame(rows, embedding_dup.NODE), "nodes")
+    celled = embedding_dup.in_blocks(nodes, block, scratch)
+    assert celled.count() == 8000
+    assert celled.groupBy("cell").count().agg({"count": "max"}).first()[0] <= block
+    trees = scratch.keep(embedding_dup.grown(celled, "f8"), "trees")
+    cells = embedding_dup.upper_cells(trees.select("cell", "center", "reach"), scratch)
+    pairs = embedding_dup.block_pairs(cells, 0.95, scratch)
+    near = embedding_dup.with_near_spots(pairs, trees, 0.95).collect()
+    n = trees.count()
+    assert n >= 8000 / block and len({tuple(p) for p in near}) == len(near)
+    assert len(near) - n < 0.1 * n * (n - 1) / 2
+    assert {p.left for p in near if p.left == p.right} == {r.cell for r in trees.select("cell").collect()}
+
+
+def test_many_lengths_take_the_jobs_of_one(spark):
+    """Vectors of 60 lengths and one place only, which pivots cannot split."""
+    rows = [(i, [1.0] * (1 + i % 60)) for i in range(240)] + [(1000 + i, [2.0 + i, 2.0 + i]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+    for own in (df.where("size(embedding) = 2"), df):
+        spark.sparkContext.setJobGroup(f"lengths {len(jobs)}", "")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dup.linked_vectors(own, block=50).collect()}
+        jobs.append(len(tracker.getJobIdsForGroup(f"lengths {len(jobs)}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] <= jobs[0] + 10
+    assert got[1000] == (303, 1) and got[0] == (3, 0) and got[59] == (3, 59)
+
+
 @pytest.mark.parametrize("dim, n, noise", [(2, 300, 0.01), (3, 400, 0.05), (8, 700, 0.1), (64, 900, 0.03)])
 def test_trees_cover_and_traverse_exactly(dim, n, noise):
     rng = np.random.default_rng(n)
