@@ -164,6 +164,12 @@ def as_row(spark: SparkSession, observed: Mapping[str, object]) -> DataFrame:
     return spark.createDataFrame([tuple(values)], types)
 
 
+def stored_control(measured: DataFrame, detail: DataFrame) -> DataFrame:
+    """(control, expected, actual): keys observed in writing the detail, keys it holds."""
+    rows = side_by_side(measured.select("n"), detail.agg(F.count("*").alias("stored")))
+    return control_rows(rows, {"keys stored are keys written": (F.col("n"), F.col("stored"))})
+
+
 def published_controls(measured: DataFrame, summary: DataFrame, exceptions: DataFrame) -> DataFrame:
     """(control, expected, actual): what was written to the detail against what was made of it.
 

@@ -158,7 +158,7 @@ def refine(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
 
 
 def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
-    """Silver to the three reconciliation tables.
+    """Silver to the three reconciliation tables, which become current together.
 
     The detail is stored once and everything after reads it. It is laid out by
     status, so that the exceptions skip the matched keys. What its controls need is
@@ -167,37 +167,66 @@ def publish(lake: Lakehouse, contract: Contract = DEFAULT) -> None:
     contract.validate()
     lake.create_layers()
     with lake.staged() as stage:
-        silver = tables(stage, "silver", contract)
-        recon = reconcile(
-            silver["gl"],
-            silver["ap"],
-            contract.business_key,
-            contract.tolerance,
-            contract.precedence,
-            contract.checks_periods,
-        )
-        # Rebalanced, or every task would write a file per status. Counted after that, in
-        # the tasks that write, which count once each even if executors are lost.
-        observed = Observation("recon-detail")
-        detail = stage.write(
-            gold.detail(recon)
-            .hint("rebalance", "break_status")
-            .observe(observed, *gold.measures(contract.business_key, contract.tolerance)),
-            "gold",
-            "recon_detail",
-            partition_by=["break_status"],
-        )
-        measured = gold.as_row(stage.spark, observed.get)
-        require(measured_controls(measured), "reconciliation")
+        present_detail(stage, tie_detail(stage, contract), contract)
 
-        def rank() -> DataFrame:
-            ranked = gold.exceptions(detail, silver["gl"], silver["ap"], stage.scratch())
-            return stage.write(ranked, "gold", "recon_exceptions")
 
-        summary, exceptions = together(
-            lambda: stage.write(gold.summary(detail), "gold", "recon_summary"), rank
-        )
-        require(gold.published_controls(measured, summary, exceptions), "gold")
+def tie(lake: Lakehouse, contract: Contract = DEFAULT) -> DataFrame:
+    """The first half of `publish` as a job of its own: the detail alone.
+
+    Returns what was observed of it, which `present` holds against its tables.
+    """
+    contract.validate()
+    lake.create_layers()
+    with lake.staged() as stage:
+        return tie_detail(stage, contract)
+
+
+def present(lake: Lakehouse, observed: DataFrame, contract: Contract = DEFAULT) -> None:
+    """The second half: the summary and the exceptions of a detail that `tie` stored."""
+    contract.validate()
+    lake.create_layers()
+    with lake.staged() as stage:
+        present_detail(stage, observed, contract)
+
+
+def tie_detail(stage: Lakehouse, contract: Contract) -> DataFrame:
+    silver = tables(stage, "silver", contract)
+    recon = reconcile(
+        silver["gl"],
+        silver["ap"],
+        contract.business_key,
+        contract.tolerance,
+        contract.precedence,
+        contract.checks_periods,
+    )
+    # Rebalanced, or every task would write a file per status. Counted after that, in
+    # the tasks that write, which count once each even if executors are lost.
+    observed = Observation("recon-detail")
+    detail = stage.write(
+        gold.detail(recon)
+        .hint("rebalance", "break_status")
+        .observe(observed, *gold.measures(contract.business_key, contract.tolerance)),
+        "gold",
+        "recon_detail",
+        partition_by=["break_status"],
+    )
+    measured = gold.as_row(stage.spark, observed.get)
+    require(measured_controls(measured), "reconciliation")
+    require(gold.stored_control(measured, detail), "reconciliation as stored")
+    return measured
+
+
+def present_detail(stage: Lakehouse, measured: DataFrame, contract: Contract) -> None:
+    detail, silver = stage.read("gold", "recon_detail"), tables(stage, "silver", contract)
+
+    def rank() -> DataFrame:
+        ranked = gold.exceptions(detail, silver["gl"], silver["ap"], stage.scratch())
+        return stage.write(ranked, "gold", "recon_exceptions")
+
+    summary, exceptions = together(
+        lambda: stage.write(gold.summary(detail), "gold", "recon_summary"), rank
+    )
+    require(gold.published_controls(measured, summary, exceptions), "gold")
 
 
 def score(lake: Lakehouse, contract: Contract = DEFAULT) -> None:

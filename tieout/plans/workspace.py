@@ -1,7 +1,8 @@
 """The pipeline over the given tables, run as far as a query needs it.
 
 Each layer is built once per session and folder and read by the queries after
-it, as reports read published tables.
+it, as reports read published tables. `publish` is run by its halves, so queries
+on the detail alone do not wait for the exceptions.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from tieout.session import run_folder
 from tieout.sources import fixtures
 from tieout.sources.lakehouse import Lakehouse, Scratch
 
-SCORECARDS = ("dq_scorecard", "dq_rule_scorecard")
+# Gold tables by the job that makes them; the rest are made by `present`.
+STAGE_OF = {"dq_scorecard": "score", "dq_rule_scorecard": "score", "recon_detail": "tie"}
+BEFORE = {"refine": "land", "tie": "refine", "present": "tie", "score": "refine"}
 BATCH = "fixture-load"
 
 
@@ -28,6 +31,7 @@ class Workspace:
     contract: Contract = DEFAULT
     extracts: dict[str, str] = field(default_factory=dict)
     _done: set = field(default_factory=set)
+    _tied: DataFrame | None = None
 
     @classmethod
     def fresh(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
@@ -65,7 +69,7 @@ class Workspace:
         return self._read("quarantine", dataset)
 
     def gold(self, table: str) -> DataFrame:
-        self._bring("score" if table in SCORECARDS else "publish")
+        self._bring(STAGE_OF.get(table, "present"))
         return self.lake.read("gold", table)
 
     def every(self, layer: str) -> dict[str, DataFrame]:
@@ -74,6 +78,8 @@ class Workspace:
     def built(self, *stages: str) -> None:
         """Note that the tables of these stages are in place already."""
         self._done.update(stages)
+        if "publish" in stages:
+            self._done.update(("tie", "present"))
 
     def _read(self, layer: str, dataset: str) -> DataFrame:
         return self.lake.read(layer, self.contract.datasets[dataset].table)
@@ -85,8 +91,13 @@ class Workspace:
             frames = {name: self.source(name) for name in self.contract.datasets}
             pipeline.land_frames(self.lake, frames, self.sf_dir, self.contract, BATCH)
         else:
-            self._bring({"refine": "land", "publish": "refine", "score": "refine"}[stage])
-            getattr(pipeline, stage)(self.lake, self.contract)
+            self._bring(BEFORE[stage])
+            if stage == "tie":
+                self._tied = pipeline.tie(self.lake, self.contract)
+            elif stage == "present":
+                pipeline.present(self.lake, self._tied, self.contract)
+            else:
+                getattr(pipeline, stage)(self.lake, self.contract)
         self._done.add(stage)
 
 
