@@ -24,15 +24,17 @@ def annotate(
 ) -> DataFrame:
     """Every row with the ids of the rules it breached; '' and 0 when clean.
 
-    The ids come out of a generator of one element. A filter on a projected
+    The ids come out of a generator of one row. A filter on a projected
     column would be pushed below it, and its copy of all rules makes a method
     too large for the JIT; nothing is pushed below a generator's output, so the
-    rules are evaluated once per row. `lookup` goes to `attach_copies`.
+    rules are evaluated once per row. They are projected below the generator, where
+    what rules share (is the column blank, its number) is evaluated once for all.
+    `lookup` goes to `attach_copies`.
     """
     rules = active(rules)
     columns = df.columns
-    ids = F.explode(F.array(failed_ids(rules))).alias(IDS)
-    checked = attach_copies(df, rules, scratch, **lookup).select(*columns, ids)
+    found = attach_copies(df, rules, scratch, **lookup).select(*columns, failed_ids(rules).alias("_found"))
+    checked = found.select(*columns, F.stack(F.lit(1), "_found").alias(IDS))
     return checked.withColumn(COUNT, failed_count())
 
 

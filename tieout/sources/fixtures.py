@@ -37,23 +37,36 @@ def _cents(value: Column) -> Column:
     return (value.cast("decimal(16,0)") * F.expr("0.01BD")).cast("decimal(18,2)")
 
 
+def _year(written: Column) -> Column:
+    return F.left(written, F.length(written) - len("-mm-dd"))
+
+
+def _month(written: Column) -> Column:
+    return F.left(written, F.length(written) - len("-dd"))
+
+
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with the shared derived columns."""
+    """One row per order with the shared derived columns.
+
+    The day is written out once; its month and year are cut from that text.
+    """
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    day = F.col("o_orderdate").cast("date")
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    day, written = F.col("day"), F.col("written")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    dated = orders.withColumn("day", F.col("o_orderdate").cast("date"))
+    return dated.withColumn("written", day.cast("string")).select(
         key.alias("k"),
         (key % FATES).alias("f"),
         F.expr(f"o_orderkey div {FATES}").alias("g"),
         customer.alias("customer"),
-        day.alias("day"),
-        F.date_format(day, "yyyy-MM").alias("period"),
-        F.date_format(F.add_months(day, 1), "yyyy-MM").alias("next_period"),
+        "day",
+        "written",
+        _month(written).alias("period"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
         _pick(ACCOUNT_CODES, customer % len(ACCOUNT_CODES)).alias("account"),
         F.concat(F.lit("V"), _padded(customer % 10000, 4)).alias("vendor"),
         F.concat(
-            F.lit("INV-"), F.date_format(day, "yyyy"), F.lit("-"), _padded(key % 1000000, 6)
+            F.lit("INV-"), _year(written), F.lit("-"), _padded(key % 1000000, 6)
         ).alias("invoice"),
     )
 
@@ -69,7 +82,7 @@ def gl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     columns = {
         "gl_entry_id": F.concat(F.lit("GL"), _padded(k * 2 + c, 9)),
-        "posting_date": F.date_format("day", "yyyy-MM-dd"),
+        "posting_date": F.col("written"),
         "fiscal_period": F.when(defect == 2, F.translate("period", "-", "/")).otherwise(
             F.col("period")
         ),
@@ -122,9 +135,9 @@ def ap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ap_line_id": F.when(defect.isin(8, 9), "AP000000000").otherwise(
             F.concat(F.lit("AP"), _padded(k * 4 + c + 1, 9))
         ),
-        "invoice_date": F.date_format("day", "yyyy-MM-dd"),
-        "due_date": F.date_format(F.date_add("day", terms), "yyyy-MM-dd"),
-        "fiscal_period": F.when(f.isin(10, 20, 21), F.col("next_period"))
+        "invoice_date": F.col("written"),
+        "due_date": F.date_add("day", terms).cast("string"),
+        "fiscal_period": F.when(f.isin(10, 20, 21), _month(F.add_months("day", 1).cast("string")))
         .when(defect == 5, F.substring("period", 3, 5))
         .otherwise(F.col("period")),
         "vendor_code": F.when(defect == 4, "v12").otherwise(F.col("vendor")),
