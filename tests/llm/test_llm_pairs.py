@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
+import os
 import random
 import re
+import threading
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,6 +20,7 @@ import corpus_pipeline
 from tieout.llm import components, cover_tree, embedding_dup, near_dup, queries, tokens
 from tieout.llm import shingles as sh
 from tieout.llm.common import scratch_of
+from tieout.sources.lakehouse import FREES_SHUFFLES, Scratch
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string"
@@ -275,6 +280,123 @@ def test_many_lengths_take_the_jobs_of_one(spark):
     assert got[1000] == (303, 1) and got[0] == (3, 0) and got[59] == (3, 59)
 
 
+def without_structure(rng, n, dim):
+    """Unrelated directions, a few of them doubled nearly or exactly."""
+    vectors = rng.normal(size=(n, dim))
+    vectors[: n // 20] = vectors[n // 2 : n // 2 + n // 20] + 0.1 * rng.normal(size=(n // 20, dim))
+    vectors[n // 20 : n // 10] = vectors[n // 20]
+    return vectors[rng.permutation(n)].astype(np.float32)
+
+
+class Disk(threading.Thread):
+    """The most bytes of shuffle files and tables there were at a time, beyond those at its start."""
+
+    def __init__(self, spark):
+        super().__init__(daemon=True)
+        local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        self.folders = [spark.conf.get("spark.checkpoint.dir"), *[f.getPath() for f in local]]
+        self.start_bytes, self.most, self.ended = self.used(), 0, threading.Event()
+
+    def used(self):
+        total = 0
+        for top in self.folders:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    with contextlib.suppress(OSError):
+                        total += os.path.getsize(f"{folder}/{name}")
+        return total
+
+    def run(self):
+        while not self.ended.wait(0.05):
+            self.most = max(self.most, self.used() - self.start_bytes)
+
+    def __enter__(self):
+        self.start()
+        return self
+
+    def __exit__(self, *_):
+        self.ended.set()
+        self.join()
+        self.most = max(self.most, self.used() - self.start_bytes)
+
+
+def test_disk_for_vectors_without_structure(spark, tmp_path):
+    """Every block is near every other, but none is written once per partner."""
+    vectors = without_structure(np.random.default_rng(3), 16_000, 64)
+    rows = pa.table({"vec_id": np.arange(len(vectors)), "embedding": list(vectors)})
+    pq.write_table(rows, tmp_path / "embeddings.parquet")
+    df = spark.read.parquet(str(tmp_path / "embeddings.parquet"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "256k")  # as for larger tables
+    try:
+        with Disk(spark) as disk:
+            got = embedding_dup.linked_vectors(df, block=512).collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert disk.most <= 4 * os.path.getsize(tmp_path / "embeddings.parquet") + 6_000_000
+    points = embedding_dup.unit(vectors)
+    counts = [int((points[at] @ points.T >= 0.95).sum()) - 1 for at in range(len(points))]
+    assert [r["n_links"] for r in sorted(got)] == counts
+    assert max(counts) >= 799
+
+
+def test_packs_of_several_lengths_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    vectors = [v.tolist() for dim in (16, 24, 40) for v in without_structure(rng, 300, dim)]
+    vectors = [vectors[i] for i in rng.permutation(len(vectors))]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>")
+    got = embedding_dup.linked_vectors(df, block=16).collect()
+    counts, roots = brute_links(vectors)
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {
+        i: (counts[i], roots[i]) for i in range(len(vectors))
+    }
+
+
+def test_packs_and_joins_find_the_same_links(spark, scratch):
+    vectors = without_structure(np.random.default_rng(9), 600, 48)
+    rows = [(i, 1 + i % 3, v.tolist(), "48") for i, v in enumerate(vectors)]
+    nodes = scratch.keep(spark.createDataFrame(rows, embedding_dup.NODE), "nodes")
+    trees = scratch.keep(embedding_dup.grown(embedding_dup.in_blocks(nodes, 64, scratch), "f4"), "trees")
+    cells = embedding_dup.upper_cells(trees.select("cell", "center", "reach"), scratch)
+    joined = embedding_dup.visited(embedding_dup.block_pairs(cells, 0.95, scratch), trees, 0.95)
+    packs = scratch.keep(embedding_dup.in_packs(trees, 50_000, 4), "packs")
+    assert packs.count() > 4
+    sums = [
+        sorted(map(tuple, edges.groupBy("node").agg({"links": "sum"}).collect()))
+        for edges in (joined, embedding_dup.visited_in_packs(packs, 0.95))
+    ]
+    assert sums[0] == sums[1] and len(sums[0]) >= 60
+
+
+@pytest.mark.parametrize("dim, n, noise", [(64, 1500, 0.1), (200, 900, 0.03), (8, 700, 0.4), (24, 1300, 0.02)])
+def test_leaves_are_compared_exactly(dim, n, noise):
+    """Leaves sorted along a direction, sketches of all kinds, tiles with many links and few."""
+    rng = np.random.default_rng(dim)
+    base = rng.normal(size=(n // 3, dim))
+    near = (base[rng.integers(0, len(base), n)] + noise * rng.normal(size=(n, dim))).astype(np.float32)
+    points = embedding_dup.unit(near)
+    a, b = cover_tree.build(points[: n // 2]), cover_tree.build(points[n // 2 :])
+    weights = rng.integers(1, 4, n + 5).astype(float)
+    links = cover_tree.Links(weights)
+    cover_tree.close_pairs(a, b, False, 0.95, links, 5 + len(a.points), 5)
+    close = a.points @ b.points.T >= 0.95
+    own, others = weights[5 : 5 + len(a.points)], weights[5 + len(a.points) :]
+    assert close.any()
+    assert (links.linked == np.concatenate([np.zeros(5), close @ others, own @ close])).all()
+
+
+def test_scratch_tables_and_shuffle_files_go(spark, tmp_path):
+    scratch = Scratch(spark, str(tmp_path / "scratch"), frees_shuffles=True)
+    with Disk(spark) as disk:
+        drawn = spark.range(200_000).select((F.rand(1) * 1e6).cast("int").alias("k"))
+        stored = scratch.keep(drawn.groupBy("k").count().repartition(4, "count"), "counts")
+    assert disk.used() - disk.start_bytes < 100_000
+    assert spark.conf.get(FREES_SHUFFLES, None) in (None, "false") and stored.count() > 1
+    scratch.drop(stored)
+    assert os.listdir(tmp_path / "scratch") == []
+
+
 @pytest.mark.parametrize("dim, n, noise", [(2, 300, 0.01), (3, 400, 0.05), (8, 700, 0.1), (64, 900, 0.03)])
 def test_trees_cover_and_traverse_exactly(dim, n, noise):
     rng = np.random.default_rng(n)
